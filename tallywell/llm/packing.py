@@ -1,7 +1,8 @@
 """Packing by cutting-stock column generation.
 
-Documents become token ids with an end id each. Pieces of a whole sequence stand alone; each remaining piece
-has a length class (its length rounded up to ``grain``), so the histogram of classes has a fixed number of
+Documents become token ids with an end id each. Pieces of a whole sequence stand alone; what remains of a
+document is cut once more at half a sequence, since halves leave far less room unused. Each such piece has a
+length class (its length rounded up to ``grain``), so the histogram of classes has a fixed number of
 entries however many documents there are. A linear program over patterns (how many pieces of each class fill
 one sequence) is solved by column generation: knapsack dynamic programming prices new patterns with the dual
 values. The rounded-down solution and best-fit patterns for what is left cover the histogram; pieces are
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tallywell.llm.common import cut, id_text, ready, rows_to_batch, texts_of
 
 LENGTH = 2048
-GRAIN = 4
+GRAIN = 8
 END = 1
 SALTS = 64  # parts in which a class is ranked
 
@@ -48,7 +49,8 @@ def _encoder(path: str):
 
 
 def pieces(df: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens: each document's ids and end id, cut at multiples of length."""
+    """doc_id, start, length, ids_crc32, doc_tokens: each document's ids and end id, in pieces of length, then of
+    half of it, then the rest."""
     ready(df.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 
@@ -58,7 +60,11 @@ def pieces(df: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id
             out = []
             for i, text in zip(ids, texts):
                 tokens = np.array([*encode(text), END], "<u4")
-                out += [(i, s, min(length, tokens.size - s), zlib.crc32(tokens[s : s + length].tobytes()), tokens.size) for s in range(0, tokens.size, length)]
+                cuts = [*range(0, tokens.size - length + 1, length)]
+                s = tokens.size // length * length
+                cuts += range(s, tokens.size, length // 2)
+                cuts.append(tokens.size)
+                out += [(i, a, b - a, zlib.crc32(tokens[a:b].tobytes()), tokens.size) for a, b in zip(cuts, cuts[1:])]
             yield rows_to_batch(schema, list(zip(*out)))
 
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, matroska, packing, pii, secrets, shards
+from tallywell.llm import bpe, matroska, packing, pii, pitman_yor, quality, secrets, shards, toxicity
 from tallywell.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.media_digest(matroska.text_media(table(spark, sf_dir, "documents")))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -28,10 +32,19 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot", "version")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scores(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
@@ -47,8 +60,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_matroska": op1_matroska,
+        "op2_quality": op2_quality,
         "op3_virtual_slots": op3_virtual_slots,
+        "op4_toxicity": op4_toxicity,
         "op5_byte_bpe": op5_byte_bpe,
+        "op7_pitman_yor": op7_pitman_yor,
         "op8_packing": op8_packing,
         "op9_pii": op9_pii,
         "op10_secrets": op10_secrets,

@@ -173,7 +173,10 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", level:
 
 def _joined(kinds: tuple[str, ...]) -> Column:
     """kind:start:end by start, then kind as listed."""
-    rows = F.concat(*[F.transform(k, lambda x, n=n: F.struct(x["s"].alias("s"), F.lit(n).alias("n"), x["e"].alias("e"))) for n, k in enumerate(kinds)])
+    def ranked(n: int, kind: str) -> Column:
+        return F.transform(kind, lambda x: F.struct(x["s"].alias("s"), F.lit(n).alias("n"), x["e"].alias("e")))
+
+    rows = F.concat(*[ranked(n, k) for n, k in enumerate(kinds)])
     return F.array_join(F.transform(F.array_sort(rows), lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, kinds)), x["n"] + 1), x["s"], x["e"])), ",")
 
 
