@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywell.llm import bpe, matroska, packing, pii, pitman_yor, quality, secrets, shards, toxicity
+from tallywell.llm import bpe, matroska, packing, pii, pitman_yor, quality, secrets, set_join, shards, toxicity
 from tallywell.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op6_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.scores(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_virtual_slots": op3_virtual_slots,
         "op4_toxicity": op4_toxicity,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_set_join": op6_set_join,
         "op7_pitman_yor": op7_pitman_yor,
         "op8_packing": op8_packing,
         "op9_pii": op9_pii,
