@@ -45,7 +45,7 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *more)
 
 
-def texts_of(batches, size: int = 1 << 20):
+def texts_of(batches, size: int = 1 << 18):
     """(ids, whole texts) of Arrow batches, in runs of about ``size`` bytes, so that a task's memory does not
     depend on the batch; a longer text is a run of its own."""
     for batch in batches:

@@ -193,8 +193,15 @@ def meetings(entries_: DataFrame) -> DataFrame:
     return rows.groupBy("leader", "member").agg(F.lit(1).alias("x")).select("leader", "member")
 
 
-def _marked(keys: DataFrame, bits: int) -> np.ndarray:
-    place = F.pmod(F.col("class"), F.lit(bits)) + 1  # buckets of this function begin at 1
+def heads(seen: DataFrame) -> DataFrame:
+    """class, least: the smallest doc_id of every class with words."""
+    return seen.filter("slice is null and n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+
+
+def _marked(met: DataFrame, first: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the first documents of the classes that met: class and doc_id share a bit."""
+    keys = met.select(F.explode(F.array("leader", "member")).alias("class")).distinct().join(first, "class")
+    place = F.pmod(F.col("class").bitwiseXOR(F.coalesce("least", F.lit(0).cast("long"))), F.lit(bits)) + 1  # buckets of this function begin at 1
     rows = keys.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
     out = np.zeros(bits // 8, np.uint8)
     for b, m in rows:
@@ -202,26 +209,38 @@ def _marked(keys: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def members(df: DataFrame, met: DataFrame, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """class, blob: the sets of all classes in met (and of those that share their bit), one row a class."""
+def packed(s: np.ndarray) -> bytes:
+    """The upper 48 bits of the hashes: two different shingles of a pair of sets fall together once in 1e9 pairs."""
+    return np.ascontiguousarray((s >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view(np.uint64)
+
+
+def members(df: DataFrame, met: DataFrame, first: DataFrame, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """member, blob: the sets of all classes in met, from each class's first document (and of the few others that
+    share a bit with one)."""
     ready(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(_marked(met.select(F.explode(F.array("leader", "member")).alias("class")), bits))
-    schema = pa.schema([("class", pa.int64()), ("blob", pa.binary())])
+    shared = df.sparkSession.sparkContext.broadcast(_marked(met, first, bits))
+    schema = pa.schema([("member", pa.int64()), ("blob", pa.binary())])
 
     def run(batches):
         wanted, seen = shared.value, set()
-        for _, texts in texts_of(batches):
+        for ids, texts in texts_of(batches):
             out = []
-            for s in sets(texts):
+            for i, s in zip(ids, sets(texts)):
                 c = class_of(s)
-                at = c % bits
-                if c not in seen and wanted[at >> 3] >> (at & 7) & 1:
+                at = (c ^ (i or 0)) % bits
+                if s.size and wanted[at >> 3] >> (at & 7) & 1 and c not in seen:
                     seen.add(c)
-                    out.append((c, s.tobytes()))
+                    out.append((c, packed(s)))
             if out:
                 yield rows_to_batch(schema, list(zip(*out)))
 
-    return id_text(df, id_col, text_col).mapInArrow(run, "class long, blob binary").groupBy("class").agg(F.first("blob").alias("blob"))
+    return id_text(df, id_col, text_col).mapInArrow(run, "member long, blob binary")
 
 
 # --- verification
@@ -284,16 +303,17 @@ _LINKS = "a long, b long"
 
 
 def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.drop_duplicates("member")
     names = pdf["member"].tolist()
-    own = [np.frombuffer(b, np.uint64) for b in pdf["blob"]]
+    own = [unpacked(b) for b in pdf["blob"]]
     return pd.DataFrame(closure(names, own, names.index(pdf["leader"].iloc[0])), columns=["a", "b"])
 
 
 def _verify_across(pdf: pd.DataFrame) -> pd.DataFrame:
     # a set may stand on both sides: once inside its own block, once outside
-    pdf = pdf.sort_values("outside", kind="stable")
+    pdf = pdf.drop_duplicates(["member", "outside"]).sort_values("outside", kind="stable")
     names = pdf["member"].tolist()
-    own = [np.frombuffer(b, np.uint64) for b in pdf["blob"]]
+    own = [unpacked(b) for b in pdf["blob"]]
     at = next(k for k, x in enumerate(names) if x == pdf["leader"].iloc[0])
     links = closure(names, own, at, pdf["outside"].to_numpy(bool))
     return pd.DataFrame([x for x in links if x[0] != x[1]], columns=["a", "b"])
@@ -304,7 +324,7 @@ def links(met: DataFrame, own: DataFrame, block: int = BLOCK) -> DataFrame:
     size = met.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).select("leader", "blocks")
     led = size.select("leader", F.col("leader").alias("member"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     placed = met.join(size, "leader").select("leader", "member", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"))
-    rows = placed.unionByName(led).join(own.withColumnRenamed("class", "member"), "member")
+    rows = placed.unionByName(led).join(own, "member")
     near = cut(rows.groupBy("leader", "block").applyInPandas(_verify, _LINKS))
     large = size.filter("blocks > 1")
     if large.isEmpty():
@@ -319,7 +339,7 @@ def links(met: DataFrame, own: DataFrame, block: int = BLOCK) -> DataFrame:
     inside = here.join(parts, "leader").select("leader", "member", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("outside"))
     heads = large.join(parts, "leader").select("leader", F.col("leader").alias("member"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "parts")
     heads = heads.select("leader", "member", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("outside"))
-    rows = outside.unionByName(inside).unionByName(heads).join(own.withColumnRenamed("class", "member"), "member")
+    rows = outside.unionByName(inside).unionByName(heads).join(own, "member")
     return near.unionAll(cut(rows.groupBy("leader", "block", "part").applyInPandas(_verify_across, _LINKS)))
 
 
@@ -346,10 +366,9 @@ def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of every row."""
     seen = cut(classes(df, id_col, text_col))
     met = cut(meetings(index(df, common_slots(seen), id_col, text_col)))
-    own = cut(members(df, met, id_col=id_col, text_col=text_col))
-    comp = components(links(met, own))
+    first = heads(seen)
+    comp = components(links(met, members(df, met, first, id_col=id_col, text_col=text_col)))
     docs = seen.filter("slice is null").select("doc_id", "n", "class")
-    first = docs.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     reach = first.join(comp, "class", "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     heads = reach.groupBy("component").agg(F.min("least").alias("component_id"))
     named = reach.join(heads, "component").select("class", "component_id")

@@ -53,7 +53,7 @@ def words(texts: list[str], lower: bool = True, blank: np.ndarray = BLANK) -> Wo
     if not gap[0]:
         edge = np.concatenate([[0], edge])
     start, end = edge[::2], edge[1::2]  # the last byte is a newline, so every word ends
-    up, down = _powers(1 << max(16, int(data.size - 1).bit_length()))
+    up, down = _powers(1 << max(19, int(data.size - 1).bit_length()))
     total = np.zeros(data.size + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[: data.size], out=total[1:])
     code = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
