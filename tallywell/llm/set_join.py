@@ -370,8 +370,8 @@ def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     comp = components(links(met, members(df, met, first, id_col=id_col, text_col=text_col)))
     docs = seen.filter("slice is null").select("doc_id", "n", "class")
     reach = first.join(comp, "class", "left").select("class", "least", F.coalesce("component", "class").alias("component"))
-    heads = reach.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = reach.join(heads, "component").select("class", "component_id")
+    smallest = reach.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = reach.join(smallest, "component").select("class", "component_id")
     return docs.join(named, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
