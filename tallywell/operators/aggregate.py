@@ -106,15 +106,16 @@ def reason(m: Metric, check: guards.Currency, repeats: dict[str, str], k: int, h
     return F.when(F.col(f"__n{k}") > 0, out)
 
 
-def _finished(grouped: DataFrame, by: Sequence[str], metrics: Sequence[Metric], check: guards.Currency, repeats: dict[str, str], total: bool = False) -> DataFrame:
+def _finished(grouped: DataFrame, by: Sequence[str], metrics: Sequence[Metric], check: guards.Currency, repeats: dict[str, str], total_of: Sequence[str] = ()) -> DataFrame:
+    """total_of: the group columns, where the row is the total of groups."""
     cols: list[Column] = [values.col(b) for b in by]
     for k, m in enumerate(metrics):
         if m.function not in ("sum", "avg"):
             cols.append(values.col(m.name))
             continue
         why = reason(m, check, repeats, k, grouped.columns)
-        if total:
-            why = _total_reason(m, check, by, why)
+        if total_of:
+            why = _total_reason(m, check, total_of, why)
         cols += [F.when(why.isNull(), values.col(m.name)).alias(m.name), why.alias(f"{m.name}_na")]
     return grouped.select(*cols)
 
@@ -147,7 +148,7 @@ def aggregate(df: DataFrame, by: Sequence[str] = (), metrics: Sequence[Metric] =
     repeats = guards.header_repeats(df) if adds else {}
     aggs = [x for k, (m, kind) in enumerate(zip(metrics, kinds)) for x in _aggregates(df, m, kind, check, repeats, k)]
     groups = _finished(df.groupBy(*[values.col(b) for b in by]).agg(*aggs), by, metrics, check, repeats)
-    totals = _finished(df.agg(*aggs), (), metrics, check, repeats, total=False) if not by else _finished(df.agg(*aggs), (), metrics, check, repeats, total=True)
+    totals = _finished(df.agg(*aggs), (), metrics, check, repeats, total_of=by)
     if not by:  # no rows, no group
         groups = _finished(df.groupBy().agg(*aggs, F.count(F.lit(1)).alias("__rows")).filter("__rows > 0"), by, metrics, check, repeats)
     key = sort_column(sort, by, metrics)

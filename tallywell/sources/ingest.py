@@ -214,20 +214,24 @@ def normalise_dates(df: DataFrame) -> DataFrame:
     tests = []
     for k, c in enumerate(texts):
         s = values.trimmed(values.col(c))
-        filled = ~values.is_blank(values.col(c))
         part = lambda n, s=s: F.regexp_extract(s, values.SLASH_TIME, n).try_cast("int")
-        tests += [F.bool_and(F.when(filled, s.rlike(values.SLASH_TIME))).alias(f"m{k}"), F.max(part(1)).alias(f"a{k}"), F.max(part(2)).alias(f"b{k}")]
-        for order in ("md", "dm"):
-            tests.append(F.bool_and(F.when(filled & s.rlike(values.SLASH_TIME), slash_date(values.col(c), order).isNotNull())).alias(f"{order}{k}"))
+        tests += [F.bool_and(F.when(~values.is_blank(values.col(c)), s.rlike(values.SLASH_TIME))).alias(f"m{k}"), F.max(part(1)).alias(f"a{k}"), F.max(part(2)).alias(f"b{k}")]
     row = df.agg(*tests).first()
-    out = {}
+    orders = {}
     for k, c in enumerate(texts):
         a, b = row[f"a{k}"], row[f"b{k}"]
-        order = "md" if a and b and a <= 12 < b else "dm" if a and b and b <= 12 < a else None
-        if row[f"m{k}"] and order and row[f"{order}{k}"]:
-            out[c] = F.when(values.is_blank(values.col(c)), values.col(c)).otherwise(slash_date(values.col(c), order))
+        if row[f"m{k}"] and a and b and (a <= 12) != (b <= 12):
+            orders[c] = "md" if a <= 12 else "dm"
+    if orders:  # a column with an impossible date stays as it is
+        real = df.agg(*[F.bool_and(F.when(~values.is_blank(values.col(c)), slash_date(values.col(c), o).isNotNull())).alias(f"r{k}") for k, (c, o) in enumerate(orders.items())]).first()
+        orders = {c: o for k, (c, o) in enumerate(orders.items()) if real[f"r{k}"]}
+    out = {}
+    for c in texts:
+        x = values.col(c)
+        if c in orders:
+            out[c] = F.when(values.is_blank(x), x).otherwise(slash_date(x, orders[c]))
         else:
-            out[c] = F.when(values.col(c).rlike(r"^\d{4}-") & (F.length(values.col(c)) >= 8), values.normalised_date(values.col(c))).otherwise(values.col(c))
+            out[c] = F.when(x.rlike(r"^\d{4}-") & (F.length(x) >= 8), values.normalised_date(x)).otherwise(x)
     return df.select(*[out[c].alias(c) if c in out else values.col(c) for c in df.columns])
 
 
