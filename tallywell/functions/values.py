@@ -28,15 +28,33 @@ def type_of(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+#: Unicode white space.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def trimmed(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c.cast("string"), r"(?U)^\s+|\s+\z", "")
+    return F.trim(c.cast("string"), F.lit(SPACES))
 
 
-def is_blank(c: Column) -> Column:
+def is_blank(c: Column, kind: T.DataType | None = None) -> Column:
+    if kind is not None and not isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
+        return c.isNull()
     return c.isNull() | (trimmed(c) == "")
 
 
+def blank_in(df: DataFrame, name: str) -> Column:
+    return is_blank(col(name), type_of(df, name))
+
+
+def text_in(df: DataFrame, name: str) -> Column:
+    """The cell's text without outer space; null for blanks. Only text columns pay for trimming."""
+    c, kind = col(name), type_of(df, name)
+    if not isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
+        return text_form(c, kind)
+    return F.when(~is_blank(c), trimmed(c))
+
+
 def to_number(c: Column, kind: T.DataType | None = None) -> Column:
     """The cell's number or null: plain, with thousands, or money with a symbol, a code or accounting brackets."""
     if isinstance(kind, NUMERIC):
@@ -53,7 +71,7 @@ def to_number(c: Column, kind: T.DataType | None = None) -> Column:
     signs = bracketed.cast("int") + (part(1) != "").cast("int") + (part(3) != "").cast("int")
     marked = bracketed | (part(2) != "") | (part(5) != "")
     money = F.when(body.rlike(MONEY) & marked & tag(part(2)) & tag(part(5)) & (signs <= 1), F.when(signs == 1, -read(part(4))).otherwise(read(part(4))))
-    return F.when(s.rlike(NUMBER), read(s)).when(s.rlike(r"[$€£¥A-Z()]"), money)
+    return F.when(s.rlike(NUMBER), read(s)).when(s.rlike(r"\d") & s.rlike(r"[$€£¥A-Z()]"), money)
 
 
 def text_form(c: Column, kind: T.DataType | None = None) -> Column:
@@ -118,6 +136,8 @@ def folded(c: Column) -> Column:
 
 def canonical(c: Column, kind: T.DataType | None = None) -> Column:
     """The text under which diff keys are equal: numbers by value, codes with leading zeros as they are."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.coalesce(c.cast("string"), F.lit(""))
     s = F.coalesce(trimmed(text_form(c, kind)), F.lit(""))
     plain = s.rlike(r"^-?(0|[1-9]\d*)(\.\d+)?\z")
     number = F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+\z", "$1"), r"\.\z", "")

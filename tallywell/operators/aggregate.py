@@ -75,13 +75,13 @@ def _read(df: DataFrame, column: str, kind: str) -> Column:
 def _aggregates(df: DataFrame, m: Metric, kind: str, check: guards.Currency, repeats: dict[str, str], k: int) -> list[Column]:
     """value, then what the guards need: number of values, currencies, subsidiaries, repeated documents."""
     if m.function == "count":
-        return [(F.count(F.lit(1)) if not m.column else F.count(F.when(~values.is_blank(values.col(m.column)), 1))).alias(m.name)]
+        return [(F.count(F.lit(1)) if not m.column else F.count(F.when(~values.blank_in(df, m.column), 1))).alias(m.name)]
     x = _read(df, m.column, kind)  # type: ignore[arg-type]
     value = {"sum": lambda: values.exact_sum(x), "avg": lambda: values.exact_sum(x) / F.count(x), "min": lambda: F.min(x), "max": lambda: F.max(x)}[m.function]()
     out = [value.alias(m.name)]
     if m.function in ("sum", "avg"):
         out.append(F.count(x).alias(f"__n{k}"))
-        text = lambda c: F.when(x.isNotNull() & ~values.is_blank(values.col(c)), values.trimmed(values.col(c)))
+        text = lambda c: F.when(x.isNotNull(), values.text_in(df, c))
         if check.column and check.n_values > 1 and names.is_money(m.column):
             out.append(F.count_distinct(text(check.column)).alias(f"__c{k}"))
         if check.subsidiary and m.column in check.unknown:

@@ -41,7 +41,7 @@ def _repeats(df: DataFrame, on: Sequence[str]) -> tuple[int, str]:
 def _side(df: DataFrame, on: Sequence[str], cols: Sequence[str], money: Sequence[str], check: guards.Currency, side: str) -> DataFrame:
     x = {c: guards.number_of(df, c) for c in cols}
     some = reduce(or_, [x[c].isNotNull() for c in money]) if money else F.lit(False)
-    own = lambda c: F.when(some & ~values.is_blank(values.col(c)), values.trimmed(values.col(c)))
+    own = lambda c: F.when(some, values.text_in(df, c))
     aggs = [values.exact_sum(x[c]).alias(f"{c}_{side}") for c in cols]
     aggs += [F.count(x[c]).alias(f"__n_{side}{k}") for k, c in enumerate(cols)]
     aggs.append((F.count_distinct(own(check.column)) if check.column else F.lit(0)).alias(f"__c_{side}"))
@@ -74,8 +74,8 @@ def diff(a: DataFrame, b: DataFrame, on: Sequence[str], cols: Sequence[str], tol
     if worst[0]:
         warnings.append(f"the key {', '.join(on)} is not unique: {worst[0]} keys repeat (such as {worst[1]}); their values are summed.")
     for c in cols:
-        bad = [F.when(~values.is_blank(values.col(c)) & guards.number_of(df, c).isNull(), values.trimmed(values.col(c))) for df in (a, b)]
-        rows = [df.agg(F.count(F.when(~values.is_blank(values.col(c)), 1)), F.count(x), F.min(x)).first() for df, x in zip((a, b), bad)]
+        bad = [F.when(guards.number_of(df, c).isNull(), values.text_in(df, c)) for df in (a, b)]
+        rows = [df.agg(F.count(F.when(~values.blank_in(df, c), 1)), F.count(x), F.min(x)).first() for df, x in zip((a, b), bad)]
         present, wrong = sum(r[0] for r in rows), sum(r[1] for r in rows)
         if present and wrong == present:
             raise ValueError(f"{c} holds text, and only numbers are compared; put it in the key")

@@ -29,10 +29,6 @@ def number_of(df: DataFrame, name: str) -> Column:
     return values.to_number(values.col(name), values.type_of(df, name))
 
 
-def _text(name: str) -> Column:
-    return values.trimmed(values.col(name))
-
-
 def currency_check(df: DataFrame) -> Currency:
     money = [c for c in df.columns if names.is_money(c) and not names.is_id(c)]
     if not money:
@@ -42,10 +38,10 @@ def currency_check(df: DataFrame) -> Currency:
     coded = [] if named else [c for c, t in df.dtypes if t == "string" and c not in money]
     picks = {}
     for k, c in enumerate(money):
-        picks[f"p{k}"] = F.count(F.when(~values.is_blank(values.col(c)), 1))
+        picks[f"p{k}"] = F.count(F.when(~values.blank_in(df, c), 1))
         picks[f"v{k}"] = F.count(number_of(df, c))
     for k, c in enumerate(named + coded):
-        text = F.when(~values.is_blank(values.col(c)), _text(c))
+        text = values.text_in(df, c)
         picks[f"n{k}"] = F.count(text)
         picks[f"i{k}"] = F.count(F.when(text.isin(*sorted(names.CURRENCIES)), 1))
         picks[f"d{k}"] = F.count(F.when(text.rlike(r"^-?\d+\z"), 1))
@@ -58,14 +54,14 @@ def currency_check(df: DataFrame) -> Currency:
     out.columns = [own[k] for k in usable] if usable else named
     if usable:  # one that shows codes or names before one of ids
         out.column = own[next((k for k in usable if row[f"d{k}"] < row[f"n{k}"]), usable[0])]
-    more = {c: F.count_distinct(F.when(~values.is_blank(values.col(c)), _text(c))) for c in {out.column, out.subsidiary} if c}
+    more = {c: F.count_distinct(values.text_in(df, c)) for c in {out.column, out.subsidiary} if c}
     if more:
         found = df.agg(*[x.alias(f"x{k}") for k, x in enumerate(more.values())]).first()
         n = dict(zip(more, found))
         out.n_values, out.subsidiaries = n.get(out.column, 0), n.get(out.subsidiary, 0)
     if out.column:
-        own_text = _text(out.column)
-        out.values = [r[0] for r in df.select(own_text.alias("x")).filter(F.col("x") != "").distinct().orderBy("x").limit(8).collect()]
+        own_text = values.text_in(df, out.column)
+        out.values = [r[0] for r in df.select(own_text.alias("x")).filter("x is not null").distinct().orderBy("x").limit(8).collect()]
     valued = {c: row[f"v{k}"] for k, c in enumerate(money)}
     if out.subsidiaries > 1:
         out.base_across = [c for c in out.amounts if not names.is_foreign(c) and valued[c] > 1]
@@ -90,7 +86,7 @@ def header_repeats(df: DataFrame) -> dict[str, str]:
         if not left:
             break
         per = [x for k, c in enumerate(left) for x in (F.count(number_of(df, c)).alias(f"n{k}"), F.min(number_of(df, c)).alias(f"a{k}"), F.max(number_of(df, c)).alias(f"b{k}"))]
-        docs = df.filter(~values.is_blank(values.col(doc))).groupBy(_text(doc).alias("doc")).agg(*per)
+        docs = df.filter(~values.blank_in(df, doc)).groupBy(values.text_in(df, doc).alias("doc")).agg(*per)
         tests = []
         for k in range(len(left)):
             many = F.col(f"n{k}") > 1

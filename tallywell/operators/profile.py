@@ -14,9 +14,12 @@ from tallywell.operators import guards
 def _tests(df: DataFrame, c: str) -> list:
     """present, truth, number, date, leading zero, whole, plain small codes of a column's cells."""
     x, kind = values.col(c), values.type_of(df, c)
-    blank, text = values.is_blank(x), values.trimmed(x)
+    blank, text = values.is_blank(x, kind), values.trimmed(x)
     numeric = isinstance(kind, values.NUMERIC)
     number = values.to_number(x, kind)
+    if numeric:  # no test of the text form is needed
+        none = F.lit(0)
+        return [F.count(x), none, F.count(number), none, F.count(F.when(number == F.floor(number), 1)), none]
     n = lambda test: F.count(F.when(~blank & test, 1))
     return [
         F.count(F.when(~blank, 1)),
@@ -30,12 +33,15 @@ def _tests(df: DataFrame, c: str) -> list:
 
 def logical_types(df: DataFrame, distinct: dict[str, int] | None = None) -> dict[str, str]:
     """bool, num, id, date or str for each column: one aggregation over all of them."""
-    tests = [t.alias(f"t{k}_{j}") for k, c in enumerate(df.columns) for j, t in enumerate(_tests(df, c))]
-    row = df.agg(*tests).first()
+    # texts are trimmed once, below the tests that read them
+    kinds_ = dict(df.dtypes)
+    own = df.select(*[values.trimmed(values.col(c)).alias(c) if kinds_[c] == "string" else values.col(c) for c in df.columns])
+    tests = [t.alias(f"t{k}_{j}") for k, c in enumerate(own.columns) for j, t in enumerate(_tests(own, c))]
+    row = own.agg(*tests).first()
     out = {}
     for k, c in enumerate(df.columns):
         n, truth, number, date, whole, small = (row[f"t{k}_{j}"] for j in range(6))
-        kind = dict(df.dtypes)[c]
+        kind = kinds_[c]
         if not n:
             out[c] = "str"
         elif truth == n:
@@ -68,9 +74,9 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     serves all columns; the approximate form needs none."""
     spark = df.sparkSession
     total = df.count()
-    text = {c: F.when(~values.is_blank(values.col(c)), values.trimmed(values.text_form(values.col(c), values.type_of(df, c)))) for c in df.columns}
+    text = {c: values.text_in(df, c) for c in df.columns}
     if approximate:
-        row = df.agg(*[x for k, c in enumerate(df.columns) for x in (F.count(text[c]).alias(f"n{k}"), F.approx_count_distinct(text[c]).alias(f"d{k}"))]).first()
+        row = df.agg(*[x for k, c in enumerate(df.columns) for x in (F.count(text[c]).alias(f"n{k}"), F.approx_count_distinct(values.col(c) if isinstance(values.type_of(df, c), values.NUMERIC) else text[c]).alias(f"d{k}"))]).first()
         n, distinct = ({c: row[f"{p}{k}"] for k, c in enumerate(df.columns)} for p in "nd")
     else:
         pairs = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), text[c].alias("t")) for k, c in enumerate(df.columns)])).alias("x")).select("x.k", "x.t")
@@ -83,7 +89,7 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     for k, c in enumerate(df.columns):
         x, own = values.col(c), values.type_of(df, c)
         number = values.to_number(x, own)
-        key = number if kinds[c] == "num" else F.when(~values.is_blank(x), values.date_key(x)) if kinds[c] == "date" else text[c]
+        key = number if kinds[c] == "num" else F.when(~values.is_blank(x, own), values.date_key(x)) if kinds[c] == "date" else text[c]
         aggs += [F.min(key).cast("string").alias(f"a{k}"), F.max(key).cast("string").alias(f"b{k}"), (values.exact_sum(number) if kinds[c] == "num" else F.lit(None).cast("double")).alias(f"s{k}"), F.count(F.when(number != F.floor(number), 1)).alias(f"f{k}")]
     row = df.agg(*aggs).first()
     out = []
