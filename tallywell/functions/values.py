@@ -13,6 +13,7 @@ NUMBER = r"^-?((\d{1,3}(,\d{3})+|\d+)(\.\d+)?|\.\d+)([eE][-+]?\d+)?\z"
 MONEY = r"^(-\s*)?(?:([$€£¥]|[A-Z]{3}(?![A-Za-z]))\s*)?(-\s*)?((?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?(?:[eE][-+]?\d+)?|\.\d+(?:[eE][-+]?\d+)?)(?:\s*([A-Z]{3}|[$€£¥]))?\z"
 ISO_DATE = r"(?i)^\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([ap]m|Z|[+-]\d{2}:?\d{2})?)?\z"
 SLASH_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})\z"
+REAL_SLASH_DATE = r"^(0?[1-9]|1[0-2])/(0?[1-9]|[12]\d|3[01])/\d{4}\z"
 TRUTH = r"(?i)^(t|f|true|false)\z"
 LOOSE_TIME = r"(?i)^(\d{4})-(\d{1,2})-(\d{1,2})[ T](\d{1,2}):(\d{2})(?::(\d{2}))?(?:\s*([ap])\.?m\.?)?\z"
 SLASH_TIME = r"(?i)^(\d{1,2})/(\d{1,2})/(\d{4})(?:\s+(\d{1,2}:\d{2}(?::\d{2})?(?:\s*[ap]\.?m\.?)?))?\z"
@@ -99,8 +100,7 @@ def date_key(c: Column) -> Column:
 
 def is_date(c: Column) -> Column:
     s = trimmed(c)
-    slash = lambda k: F.regexp_extract(s, SLASH_DATE, k).try_cast("int")
-    return s.rlike(ISO_DATE) | (s.rlike(SLASH_DATE) & slash(1).between(1, 12) & slash(2).between(1, 31))
+    return s.rlike(ISO_DATE) | s.rlike(REAL_SLASH_DATE)
 
 
 def real_date(year: Column, month: Column, day: Column) -> Column:
