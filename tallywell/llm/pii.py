@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import cut, id_text, ready, rows_to_batch, signed, texts_of
+from tallywell.llm.common import cut, fresh, id_text, ready, rows_to_batch, signed, texts_of
 from tallywell.llm.words import MARKS, words
 
 # The kinds of personal data, in order, and their patterns. Each is written so that a scan takes
@@ -218,8 +218,9 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
     a hash of the text.
     """
     ready(df.sparkSession)
+    own = fresh(df, "text_hash")
     marked = spans(df, id_col=id_col, text_col=text_col, **how).filter(F.size("terms") > 0)
-    terms = marked.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("terms").alias("__terms")).dropDuplicates(["__id", "__key"])
+    terms = marked.select("doc_id", "text_key", "terms").dropDuplicates(["doc_id", "text_key"])
 
     @F.pandas_udf("long")
     def key(text):
@@ -234,6 +235,6 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **ho
 
         return text.combine(found_terms, one) if len(text) else text
 
-    names = df.columns
-    joined = df.withColumn("__k", key(F.col(text_col))).join(terms, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__key")), "left")
-    return joined.withColumn(text_col, clean(F.col(text_col), F.col("__terms"))).select(*names)
+    hashed = df.withColumn(own, key(F.col(text_col))).alias("d")
+    joined = hashed.join(terms.alias("t"), F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("t.doc_id")) & (F.col(f"d.{own}") == F.col("t.text_key")), "left")
+    return joined.select(*[clean(F.col(f"d.`{c}`"), F.col("t.terms")).alias(c) if c == text_col else F.col(f"d.`{c}`") for c in df.columns])

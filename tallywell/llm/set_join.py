@@ -377,5 +377,5 @@ def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one document of each group, the one with the smallest id; rows without words all stay."""
-    drop = joined(df, id_col, text_col).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return df.join(drop, df[id_col].cast("long") == drop["__id"], "left_anti")
+    drop = joined(df, id_col, text_col).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("dropped")).distinct()
+    return df.alias("d").join(drop.alias("x"), F.col(f"d.`{id_col}`").cast("long") == F.col("x.dropped"), "left_anti")

@@ -1,0 +1,477 @@
+"""Each operator against brute force, an exact round trip, or held-out accuracy."""
+
+import base64
+import hashlib
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallywell.llm import bpe, matroska, packing, pii, pitman_yor, quality, secrets, set_join, shards, toxicity
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def frame(spark, texts, start=0):
+    return spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts, start)], "doc_id long, text string, lang string")
+
+
+def prose(rng, n, words=400):
+    return " ".join(f"w{int(x)}" for x in rng.zipf(1.3, n) % words)
+
+
+# --- 1
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.binary(min_size=1, max_size=30_000))
+def test_matroska_round_trip(payload):
+    raw = matroska.write(payload)
+    media = matroska.parse(raw)
+    assert matroska.samples(raw, media) == payload
+    assert all(raw.startswith(b"\x1f\x43\xb6\x75", at) for _, _, at in media.cues)
+    assert [p.timestamp_ns for p in media.packets] == sorted(p.timestamp_ns for p in media.packets)
+
+
+@pytest.mark.parametrize("kind", ["xiph", "ebml", "fixed"])
+def test_lacing(kind):
+    rng = random.Random(1)
+    for n in (1, 2, 9, 256):
+        frames = [bytes(rng.randrange(256) for _ in range(700 if kind == "fixed" else rng.choice([0, 1, 254, 255, 256, 600]))) for _ in range(n)]
+        flag, data = matroska.lace(frames, kind)
+        name, spans = matroska.unlace(data, 0, len(data), flag)
+        assert name == kind and [data[o : o + s] for o, s in spans] == frames
+
+
+def test_matroska_unknown_sizes_groups_and_damage():
+    block = matroska.element(matroska.BLOCK_GROUP, matroska.element(matroska.BLOCK, b"\x81\x00\x05\x00abc") + matroska.uint(matroska.BLOCK_DURATION, 7) + matroska.element(matroska.REFERENCE, b"\x01"))
+    cluster = b"\x1f\x43\xb6\x75\x01" + b"\xff" * 7 + matroska.uint(matroska.TIMESTAMP, 10) + matroska.element(matroska.VOID, b"xx") + block
+    raw = b"\x18\x53\x80\x67\x01" + b"\xff" * 7 + cluster + cluster
+    media = matroska.parse(raw)
+    assert [(p.timestamp_ns, p.size, p.keyframe, p.cluster) for p in media.packets] == [(15_000_000, 3, False, 0), (15_000_000, 3, False, 1)]
+    good = matroska.write(b"x" * 5000)
+    for bad in (b"", good[:100], b"\0" * 50, good[:-700]):
+        with pytest.raises(ValueError):
+            matroska.parse(bad)
+
+
+def test_packet_table(spark):
+    raw = matroska.write(bytes(range(256)) * 20)
+    df = spark.createDataFrame([(1, bytearray(raw)), (2, None), (3, bytearray(b"junk"))], "id long, media binary")
+    rows = matroska.packet_table(df, "id", "media").collect()
+    assert sum(r["size"] for r in rows if r["id"] == 1) == 5120 and [r["error"] is not None for r in rows if r["id"] == 3] == [True] and not [r for r in rows if r["id"] == 2]
+
+
+# --- 2
+
+
+def test_quality_base_and_bands(spark):
+    rng = np.random.default_rng(0)
+    texts = [" ".join("".join(rng.choice(list("etaoinshr"), 5)) for _ in range(60)) for _ in range(300)]
+    texts += ["#$%& ZXQ!! " * 1 + " ".join("".join(rng.choice(list("#$%&QXZ!<|"), 6)) for _ in range(60)), "the same eight words come again and again " * 10, "few words", None]
+    rows = {r["doc_id"]: r for r in quality.judged(frame(spark, texts)).collect()}
+    assert sum(rows[i]["kept"] for i in range(300)) >= 297 and not rows[300]["base_failed"] and not rows[300]["kept"] and rows[301]["base_failed"] and rows[302]["base_failed"] and rows[303]["n_words"] == 0
+    for i, t in enumerate(texts):
+        w = WORD.findall(t or "")
+        lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+        grams = Counter(tuple(w[k : k + 8]) for k in range(len(w) - 7))
+        covered = {j for k in range(len(w) - 7) if grams[tuple(w[k : k + 8])] > 1 for j in range(k, k + 8)}
+        r = rows[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(covered))
+    kept = {r["doc_id"] for r in quality.good_rows(frame(spark, texts)).collect()}
+    assert kept == {i for i, r in rows.items() if r["kept"]}
+
+
+def test_kneser_ney_matches_dictionaries():
+    texts = ["abracadabra", "abcabcabd", "ab"]
+    code, _ = quality.codes(texts)
+    n = np.bincount(code, minlength=64**3)
+    at = np.flatnonzero(n)
+    m = quality.model({5: (at, n[at])})
+    c3 = {(int(k) >> 12, int(k) >> 6 & 63, int(k) & 63): int(n[k]) for k in at}
+    c2 = Counter((b, c) for _, b, c in c3)
+    c1 = Counter(c for _, c in c2)
+
+    def level(counts, context, c, lower):
+        d = quality._discounts(np.array(list(counts.values())))
+        own = {k[-1] if isinstance(k, tuple) else k: v for k, v in counts.items() if (k[:-1] if isinstance(k, tuple) else ()) == context}
+        if not own:
+            return lower
+        take = lambda v: d[min(v, 3) - 1]
+        return (max(own.get(c, 0) - take(own[c]), 0) if c in own else 0) / sum(own.values()) + sum(map(take, own.values())) / sum(own.values()) * lower
+
+    def p(a, b, c):
+        return level(c3, (a, b), c, level(c2, (b,), c, level(c1, (), c, 1 / 64)))
+
+    some = [(0, 0, 4), (4, 5, 21), (5, 21, 4), (4, 4, 4), (63, 62, 61), (5, 4, 9)]
+    got = np.exp2(quality.log_probability(m, 5, np.array([a << 12 | b << 6 | c for a, b, c in some])))
+    assert got == pytest.approx([p(*x) for x in some], rel=1e-5)
+    for context in (4 << 12 | 5 << 6, 62 << 12 | 61 << 6):
+        assert np.exp2(quality.log_probability(m, 5, context | np.arange(64))).sum() == pytest.approx(1, rel=1e-5)
+
+
+# --- 3
+
+
+def test_shards(spark):
+    rng = random.Random(3)
+    df = frame(spark, ["x" * rng.randrange(3000) for _ in range(2000)])
+    rows, slot_map = shards.sharded(df)
+    rows = rows.toPandas()
+    size = rows.groupby("shard")["size"].sum()
+    assert len(size) == 24 and size.max() - size.min() <= rows["size"].max() and all(sorted(g) == list(range(len(g))) for _, g in rows.groupby("shard")["slot"])
+    assert dict(zip(rows["doc_id"], rows["text_crc32"])) == {r["doc_id"]: zlib.crc32(r["text"].encode()) for r in df.collect()}
+    grown = shards.grow(slot_map, 24)
+    old, new = ({r["vslot"]: r for r in m.collect()} for m in (slot_map, grown))
+    moved = [v for v in old if old[v]["shard"] != new[v]["shard"]]
+    assert moved and all(new[v]["shard"] == 24 and new[v]["version"] == 2 for v in moved) and old.keys() == new.keys()
+    load = Counter()
+    for r in new.values():
+        load[r["shard"]] += r["bytes"]
+    assert max(load.values()) <= 1.1 * sum(load.values()) / 25
+
+
+# --- 4
+
+
+def test_toxicity_held_out():
+    rng = np.random.default_rng(5)
+    bad = ["dreadfulfoe", "vilescum", "rottenfool", "nastyworm"]
+    rows = []
+    for i in range(600):
+        w = prose(rng, 120).split()
+        label = int(i % 4 == 0)
+        if label:
+            for _ in range(4):
+                w.insert(int(rng.integers(len(w))), str(rng.choice(bad)))
+        rows.append((i, " ".join(w), label))
+    model = toxicity.fit_rows(rows[:450])
+    p = np.array([toxicity.score(t, model) for _, t, _ in rows[450:]])
+    y = np.array([x for *_, x in rows[450:]])
+    assert p[y == 1].mean() > 0.8 and (p[y == 1] >= 0.5).mean() > 0.9 and (p[y == 0] >= 0.5).mean() < 0.1
+    assert toxicity.score("", model) < 0.5 and toxicity.score("any", toxicity.fit_rows(rows[1:4])) == 0
+
+
+def test_toxicity_ignores_other_folds(spark):
+    docs = frame(spark, [f"text {i}" for i in range(100)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    ids = {r["doc_id"] for r in toxicity.training_rows(docs, labels).collect()}
+    assert ids == {i for i in range(100) if zlib.crc32(str(i).encode()) % 5}
+    assert len(toxicity.training_rows(docs, labels, per_class=10).collect()) == 20
+
+
+# --- 5
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    import public_tokenizers as p
+    import tiktoken
+
+    path = p.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return path, tiktoken.Encoding("own", pat_str=p.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_matches_library(tokenizer):
+    path, library = tokenizer
+    own = bpe.loaded(path)
+    rng = random.Random(7)
+    chars = " \n\t '''srtvelmdx9é!ABßñ漢字😀 ½"
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(25))) for _ in range(4000)]
+    texts += ["", "ab'll're" * 500 + "x" * 3000 + " " * 700, "<|endoftext|>", "'" * 900, "🙂" * 400, "\r\n \r\n"]
+    for k in range(0, len(texts), 40):
+        got = own.encode(texts[k : k + 40])
+        assert got == [library.encode_ordinary(t) for t in texts[k : k + 40]]
+        for t, ids in zip(texts[k : k + 40], got):
+            assert own.decode(ids) == t.encode() and own.offsets(ids)[-1] == len(t.encode())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=4))
+def test_bpe_any_text(tokenizer, texts):
+    texts = [t.encode("utf-8", "replace").decode() for t in texts]
+    assert bpe.loaded(tokenizer[0]).encode(texts) == [tokenizer[1].encode_ordinary(t) for t in texts]
+
+
+def test_scan_is_the_automaton():
+    rng = np.random.default_rng(0)
+    f, _ = bpe.monoid()
+    for n in (0, 1, 255, 256, 257, 3000):
+        s = rng.integers(0, 7, n).astype(np.uint8)
+        state, want = 0, []
+        for x in s:
+            want.append(state)
+            state = bpe._NEXT[x, state]
+        assert f[bpe.scan(bpe._symbol_function()[s]), 0].tolist() == want
+
+
+# --- 6
+
+
+def shingles(text):
+    w = WORD.findall((text or "").translate(LOWER))
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def brute(texts):
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return [find(x) for x in range(len(texts))], [len(s) for s in sets]
+
+
+def copies(seed):
+    rng = np.random.default_rng(seed)
+    passage = prose(rng, 60)
+    texts = [None, "", "one two", "One TWO", "a b c d e", "a b c d e f", " \n"]
+    for n in (6, 9, 13, 20, 40, 90, 200, 500):
+        for _ in range(4):
+            words = prose(rng, n).split()
+            for _ in range(5):
+                own = list(words)
+                for _ in range(int(rng.integers(0, max(2, n // 30)))):
+                    own[int(rng.integers(len(own)))] = f"e{int(rng.integers(1000))}"
+                texts.append(" ".join(own))
+    texts += [f"{passage} {prose(rng, int(rng.integers(5, 40)), 5000)}" for _ in range(60)]
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_join_matches_brute_force(spark, seed):
+    texts = copies(seed)
+    want, n = brute(texts)
+    got = {r["doc_id"]: r for r in set_join.joined(frame(spark, texts)).collect()}
+    assert [got[i]["component_id"] for i in range(len(texts))] == want and [got[i]["n_shingles"] for i in range(len(texts))] == n
+    kept = {r["doc_id"] for r in set_join.first_of_groups(frame(spark, texts)).collect()}
+    assert kept == set(want)
+
+
+def test_join_splits_large_meetings(spark, monkeypatch):
+    monkeypatch.setattr(set_join, "BLOCK", 7)
+    texts = copies(3)
+    df = frame(spark, texts)
+    seen = set_join.cut(set_join.classes(df))
+    met = set_join.cut(set_join.meetings(set_join.index(df, set_join.common_slots(seen))))
+    links = set_join.links(met, set_join.members(df, met, set_join.heads(seen)), block=7).collect()
+    name = {r["class"]: r["least"] for r in set_join.heads(seen).collect()}
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((find(name[a]), find(name[b])))
+        root[y] = x
+    want, _ = brute(texts)
+    first = {}
+    for r in seen.filter("slice is null and n > 0").collect():
+        first[r["doc_id"]] = name[r["class"]]
+    assert [find(first.get(i, i)) for i in range(len(texts))] == want
+
+
+def test_pigeonhole_never_loses_a_pair():
+    rng = np.random.default_rng(9)
+    common = np.zeros(set_join.SLOTS, bool)
+    common[rng.integers(0, set_join.SLOTS, set_join.SLOTS // 5)] = True
+    for _ in range(3000):
+        n = int(rng.integers(1, 90))
+        s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        t = s[rng.random(s.size) > rng.random() * 0.15]
+        t = np.unique(np.concatenate([t, rng.integers(0, 2**63, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)]))
+        both = np.intersect1d(s, t).size
+        if t.size and set_join.linked(s.size, t.size, both):
+            assert np.intersect1d(set_join.entries(s, common), set_join.entries(t, common)).size
+
+
+# --- 7
+
+
+def test_pitman_yor(spark):
+    rng = np.random.default_rng(4)
+
+    def chain(n):  # the next word depends on the one before
+        w = [int(rng.integers(400))]
+        while len(w) < n:
+            w.append((w[-1] * 7 + int(rng.zipf(1.6))) % 400)
+        return " ".join(f"w{x}" for x in w)
+
+    texts = [chain(150) for _ in range(150)] + [None, "never seenword"]
+    rows = {r["doc_id"]: r for r in pitman_yor.scores(frame(spark, texts), block_bytes=20_000).collect()}
+    tokens = [WORD.findall((t or "").translate(LOWER)) + ["\n"] for t in texts]
+    count = Counter(w for i, t in enumerate(tokens) if zlib.crc32(str(i).encode()) % 7 != 2 for w in t)
+    n, v = sum(count.values()), len(count)
+    for i, t in enumerate(tokens):
+        r = rows[i]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(t), sum(count[w] > 0 for w in t), n, zlib.crc32(str(i).encode()) % 7 == 2)
+        assert r["base_score"] == pytest.approx(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in t)) and r["score"] < 0
+    held = [r for r in rows.values() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_pitman_yor_probabilities_add_up():
+    rng = np.random.default_rng(2)
+    code, size = pitman_yor.tokens([prose(rng, 300, 200) for _ in range(20)])
+    b = pitman_yor.block(code, size, np.ones(20, bool))
+    owner = np.repeat(np.arange(b.token.size), b.per_token)
+    totals = np.bincount(b.context, weights=b.count, minlength=pitman_yor.CONTEXTS)
+    s = pitman_yor.seat(owner, b.context, b.count.astype(np.int64), b.token.size, 1, totals, 0)
+    spare = (pitman_yor.STRENGTH + pitman_yor.DISCOUNT * s.tables) / (pitman_yor.STRENGTH + totals)
+    spare_1 = (pitman_yor.STRENGTH_1 + pitman_yor.DISCOUNT_1 * s.parent_tables) / (pitman_yor.STRENGTH_1 + s.parent_customers)
+    v = b.token.size
+    p1 = s.parent_left / (pitman_yor.STRENGTH_1 + s.parent_customers) + spare_1 / (v + 1)
+    assert p1.sum() + spare_1 / (v + 1) == pytest.approx(1)
+    for u in range(0, pitman_yor.CONTEXTS, 9):
+        own = b.context == u
+        assert (s.left[own].sum() / (pitman_yor.STRENGTH + totals[u])) + spare[u] == pytest.approx(1)
+
+
+def test_restaurant_keeps_its_customers():
+    rng = np.random.default_rng(0)
+    c = rng.zipf(1.5, 500).clip(max=5000)
+    r = pitman_yor.Restaurant(c, np.full(500, 0.5), 0.8, rng)
+    for _ in range(5):
+        busy = np.flatnonzero(c > 1)
+        r.leave(busy)
+        r.sit(busy, np.full(busy.size, 0.5))
+        assert (np.bincount(r.row, weights=r.size, minlength=500) == c).all() and r.size.min() >= 1 and (r.tables() <= c).all()
+
+
+# --- 8
+
+
+def test_packing(spark):
+    import public_tokenizers as p
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(p.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    rng = np.random.default_rng(8)
+    texts = [prose(rng, int(rng.integers(1, 1500))) for _ in range(120)] + [None, "", "<|endoftext|> it's so", "same"] + ["same"] * 40
+    rows = packing.packed(frame(spark, texts), p.path("byte_bpe_50k.json")).toPandas()
+    ids = [np.array([*library.encode(t or "", add_special_tokens=False).ids, packing.END], "<u4") for t in texts]
+    for i, own in rows.groupby("doc_id"):
+        own = own.sort_values("start")
+        assert own["start"].tolist() == [0, *own["length"].cumsum().tolist()[:-1]] and own["length"].sum() == ids[i].size == own["doc_tokens"].iloc[0]
+        assert [zlib.crc32(ids[i][s : s + n].tobytes()) for s, n in zip(own["start"], own["length"])] == own["ids_crc32"].tolist()
+    assert rows["doc_id"].nunique() == len(texts)
+    for _, s in rows.sort_values("offset").groupby("sequence_id"):
+        assert s["offset"].tolist() == [0, *s["length"].cumsum().tolist()[:-1]] and s["length"].sum() <= packing.LENGTH
+    assert rows["length"].sum() / (rows["sequence_id"].nunique() * packing.LENGTH) > 0.95
+
+
+def test_plan_covers_demand():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 50, 20_000):
+        demand = np.bincount(rng.integers(0, 128, n), minlength=256)
+        made = packing.plan(demand)
+        assert (sum((p * k for p, k in made), np.zeros(256, np.int64)) == demand).all() and all((p * np.arange(1, 257)).sum() <= 256 for p, _ in made)
+        if n == 20_000:
+            assert sum(k for _, k in made) <= 1.01 * (demand * np.arange(1, 257)).sum() / 256 + 1
+    value, pattern = packing.knapsack(np.array([1.0, 2.5, 3.0]), 7)
+    assert value == max(a + 2.5 * b + 3 * c for a in range(8) for b in range(4) for c in range(3) if a + 2 * b + 3 * c <= 7) and (pattern * [1, 2, 3]).sum() <= 7
+
+
+# --- 9
+
+PII = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def plain_pii(text):
+    out = []
+    for k, (kind, pattern) in enumerate(PII):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            total = sum(sum(divmod(int(c) * (1 + j % 2), 10)) for j, c in enumerate(reversed(digits)))
+            if kind == "ip" and max(map(int, m[0].split("."))) > 255 or kind == "card" and not (16 <= len(digits) <= 19 and total % 10 == 0) or kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append((k, m.start(), m.end()))
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a.@+1234 -()é0", max_size=60))
+def test_pii_spans(text):
+    assert pii.base_spans(text) == plain_pii(text)
+
+
+def test_pii_is_linear():
+    for text in ("a" * 200_000, "a@" * 100_000, "1." * 100_000, "1" * 200_000, "+1" * 100_000):
+        pii.base_spans(text)
+
+
+def test_pii_terms(spark):
+    rng = random.Random(2)
+    fill = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma"]) for _ in range(n))
+    texts = [f"{fill(30)} {rng.choice('xyzuvw') * 5}{i} Zanzibaroo {fill(2)} joe@site.org {fill(30)}" for i in range(8)] + [fill(200) for _ in range(60)] + ["copied text about Quirkword joe2@site.org and no more"] * 9 + [None]
+    df = frame(spark, texts)
+    rows = {r["doc_id"]: r for r in pii.digest(pii.spans(df)).collect()}
+    for i in range(8):
+        at = texts[i].index("Zanzibaroo")
+        assert f"term:{at}:{at + 10}" in rows[i]["spans"].split(",") and rows[i]["n_email"] == 1
+        assert rows[i]["base_sha256"] == hashlib.sha256(",".join(f"{PII[k][0]}:{s}:{e}" for k, s, e in plain_pii(texts[i])).encode()).hexdigest()
+    assert not any("term" in rows[i]["spans"] for i in range(8, len(texts)))  # ordinary words, and words of mere copies
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert "joe" not in clean[0] and "Zanzibaroo" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == texts[10] and clean[len(texts) - 1] is None
+
+
+# --- 10
+
+SECRETS = (("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), ("access", r"AKIA[A-Z0-9]+"), ("hex", r"[0-9a-f]+"))
+
+
+def plain_secrets(text):
+    out = []
+    for k, (kind, pattern) in enumerate(SECRETS):
+        for m in re.finditer(pattern, text):
+            if kind == "assign" and len(m[2]) < 8 or kind == "access" and len(m[0]) < 16 or kind == "hex" and len(m[0]) < 32:
+                continue
+            out.append((m.start(), k, kind, m.end()))
+    return ",".join(f"{kind}:{s}:{e}" for s, _, kind, e in sorted(out))
+
+
+def test_secrets(spark):
+    rng = random.Random(6)
+    pick = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = [f"é {pick('abc ', 30)} Password = '{pick(b62, rng.randrange(4, 14))}' {pick('0123456789abcdef', rng.randrange(20, 50))} AKIA{pick(b62[:26], rng.randrange(8, 20))} token:{pick(b62, 9)}" for _ in range(60)]
+    runs = [pick(b62, 40) for _ in range(20)]
+    texts += [f"see {x} there" for x in runs] + ["thereisnothingtoseeherejustwordsruntogether " * 5, "section-12-part-34-line-56-page-78", "A" * 30 + "1" * 30, "\x01\x02 token=abcdefgh", None, ""]
+    rows = {r["doc_id"]: r for r in secrets.digest(secrets.spans(frame(spark, texts))).collect()}
+    for i, t in enumerate(texts):
+        assert rows[i]["base_sha256"] == hashlib.sha256(plain_secrets(t or "").encode()).hexdigest(), t
+    found = [rows[60 + k]["spans"] == f"random:4:{4 + len(x)}" for k, x in enumerate(runs)]
+    assert sum(found) >= 18 and not any("random" in rows[i]["spans"] for i in range(80, len(texts)))
+
+
+def test_battery_levels(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(1)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    uniform = [("u", "".join(rng.choice(b64) for _ in range(64))) for _ in range(400)]
+    ordered = [("o", b64[k % 20 : k % 20 + 30] + "x1") for k in range(50)]
+    df = spark.createDataFrame(uniform + ordered, "kind string, m string").select("kind", F.array(F.struct(F.lit(0).cast("long").alias("s"), F.length("m").cast("long").alias("e"), "m")).alias("runs"))
+    rows = df.select("kind", F.explode(secrets.battery(F.col("runs"), [1 / 26] * 26)).alias("x")).select("kind", "x.*").collect()
+    rejected = {k: np.mean([r["p"] < 0.01 for r in rows if r["kind"] == k]) for k in "uo"}
+    assert rejected["u"] < 0.04 and rejected["o"] > 0.9
