@@ -15,21 +15,27 @@ from pyspark.sql import functions as F
 
 REPO = str(Path(__file__).resolve().parents[2])
 
+BATCH = 8 << 20
+_LIMIT, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ready(spark: SparkSession) -> None:
-    """Let Python workers import this package, and have a checkpoint folder.
+    """Let Python workers import this package, bound the batches they get, and have a checkpoint folder.
 
-    A cluster names its shared folder in spark.checkpoint.dir; only where that is unset (tests, local
+    Batches of rows end at BATCH bytes unless the session says otherwise: ten thousand long texts would fill a
+    worker. A cluster names its shared folder in spark.checkpoint.dir; only where that is unset (tests, local
     runs) a temporary one is made.
     """
     sc = spark.sparkContext
     paths = sc.environment.get("PYTHONPATH", "")
     if REPO not in paths.split(os.pathsep):
         sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, paths) if x)
+    if spark.conf.get(_LIMIT) == _DEFAULT:
+        spark.conf.set(_LIMIT, str(BATCH))
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
 
