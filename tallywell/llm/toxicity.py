@@ -33,9 +33,9 @@ MOST_BYTES = 65536
 WINDOW = 8  # bytes, up to the end of a word
 LEVEL = 1
 FAR = 2  # bytes of distance that count
-TERMS = 200
+TERMS = 60
 ORDINARY_BYTES = 12000
-FALSE_ALARMS = 0.02
+FALSE_ALARMS = 0.01
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
