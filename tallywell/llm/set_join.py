@@ -16,8 +16,8 @@ inside T). Cost decides the order and the kind of index:
 A document near the upper end of its band also indexes the next band's segments. Equal sets are one class from
 the start. Documents that share an index entry meet at the entry's least class, the leader; all documents that
 met at a leader are verified exactly against each other, leader first, skipping pairs that are known to be
-connected or that the triangle inequality of the Jaccard distance rules out. Large meetings are split in
-blocks, and only members that the leader's component lacks are compared across blocks. No pair is dropped or
+connected or that the triangle inequality of the Jaccard distance rules out. Meetings of many members or of
+long ones are split in blocks, so that a task's memory does not grow with either, and only members that the leader's component lacks are compared across blocks. No pair is dropped or
 capped. The chance that a set leaves too few segments is below 1e-9, like that of a hash collision.
 
 Null and empty texts and texts without words have an empty set and link with nothing; repeated rows and copies
@@ -44,6 +44,7 @@ NUMERATOR, DENOMINATOR = 4, 5  # the similarity, 0.8
 SLOTS = 1 << 22  # of the counting sketch
 SLICES = 64
 BLOCK = 2000  # members of a meeting that one task verifies
+SHINGLES = 4 << 20  # that a block's members hold, about
 SMALL = 3  # the last band with one-deletion neighbourhoods
 BITS = 1 << 24  # of the bitmap of classes that met another
 
@@ -194,8 +195,8 @@ def meetings(entries_: DataFrame) -> DataFrame:
 
 
 def heads(seen: DataFrame) -> DataFrame:
-    """class, least: the smallest doc_id of every class with words."""
-    return seen.filter("slice is null and n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+    """class, least, n: the smallest doc_id of every class with words, and its number of shingles."""
+    return seen.filter("slice is null and n > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
 
 
 def _marked(met: DataFrame, first: DataFrame, bits: int) -> np.ndarray:
@@ -319,12 +320,16 @@ def _verify_across(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([x for x in links if x[0] != x[1]], columns=["a", "b"])
 
 
-def links(met: DataFrame, own: DataFrame, block: int = BLOCK) -> DataFrame:
-    """a, b: exact links that connect all that the meetings' links connect."""
-    size = met.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).select("leader", "blocks")
+def links(met: DataFrame, own: DataFrame, block: int = BLOCK, first: DataFrame | None = None, shingles: int = SHINGLES) -> DataFrame:
+    """a, b: exact links that connect all that the meetings' links connect. With ``first`` (see ``heads``), blocks
+    are bounded by their members' shingles too."""
+    n = F.lit(0).cast("long").alias("n")
+    met = met.select("leader", "member", n) if first is None else met.join(first.select(F.col("class").alias("member"), "n"), "member").select("leader", "member", "n")
+    tasks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / shingles)).cast("int")
+    size = met.groupBy("leader").agg(tasks.alias("blocks"))
     led = size.select("leader", F.col("leader").alias("member"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    placed = met.join(size, "leader").select("leader", "member", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"))
-    rows = placed.unionByName(led).join(own, "member")
+    placed = met.join(size, "leader").select("leader", "member", "n", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"))
+    rows = placed.drop("n").unionByName(led).join(own, "member")
     near = cut(rows.groupBy("leader", "block").applyInPandas(_verify, _LINKS))
     large = size.filter("blocks > 1")
     if large.isEmpty():
@@ -333,7 +338,7 @@ def links(met: DataFrame, own: DataFrame, block: int = BLOCK) -> DataFrame:
     comp = components(near)
     here = placed.join(large, "leader").join(comp.select(F.col("class").alias("member"), F.col("component").alias("of_member")), "member", "left").join(comp.select(F.col("class").alias("leader"), F.col("component").alias("of_leader")), "leader", "left")
     apart = here.filter(F.coalesce("of_member", "member") != F.coalesce("of_leader", "leader"))
-    parts = apart.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    parts = apart.groupBy("leader").agg(tasks.alias("parts"))
     outside = apart.join(parts, "leader").select("leader", "member", "blocks", "parts", F.pmod(F.xxhash64("member", F.lit(1)), F.col("parts")).cast("int").alias("part"))
     outside = outside.select("leader", "member", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "part", F.lit(True).alias("outside"))
     inside = here.join(parts, "leader").select("leader", "member", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("outside"))
@@ -367,7 +372,7 @@ def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     seen = cut(classes(df, id_col, text_col))
     met = cut(meetings(index(df, common_slots(seen), id_col, text_col)))
     first = heads(seen)
-    comp = components(links(met, members(df, met, first, id_col=id_col, text_col=text_col)))
+    comp = components(links(met, members(df, met, first, id_col=id_col, text_col=text_col), first=first))
     docs = seen.filter("slice is null").select("doc_id", "n", "class")
     reach = first.join(comp, "class", "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     smallest = reach.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -376,6 +381,7 @@ def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with one document of each group, the one with the smallest id; rows without words all stay."""
+    """df with one document of each group, the one with the smallest id; rows without words or without an id all
+    stay, and rows that repeat an id stay or go together."""
     drop = joined(df, id_col, text_col).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("dropped")).distinct()
     return df.alias("d").join(drop.alias("x"), F.col(f"d.`{id_col}`").cast("long") == F.col("x.dropped"), "left_anti")

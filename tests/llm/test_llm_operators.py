@@ -265,13 +265,13 @@ def test_join_matches_brute_force(spark, seed):
     assert kept == set(want)
 
 
-def test_join_splits_large_meetings(spark, monkeypatch):
-    monkeypatch.setattr(set_join, "BLOCK", 7)
+@pytest.mark.parametrize("how", [lambda first: {"block": 7}, lambda first: {"first": first, "shingles": 300}], ids=["many members", "long members"])
+def test_join_splits_large_meetings(spark, how):
     texts = copies(3)
     df = frame(spark, texts)
     seen = set_join.cut(set_join.classes(df))
     met = set_join.cut(set_join.meetings(set_join.index(df, set_join.common_slots(seen))))
-    links = set_join.links(met, set_join.members(df, met, set_join.heads(seen)), block=7).collect()
+    links = set_join.links(met, set_join.members(df, met, set_join.heads(seen)), **how(set_join.heads(seen))).collect()
     name = {r["class"]: r["least"] for r in set_join.heads(seen).collect()}
     root = list(range(len(texts)))
 
