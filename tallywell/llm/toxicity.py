@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on words of ordinary text and one on the words that toxic labelled
-text uses more than ordinary text does. Every text is cut at words into windows of a few bytes; a window's
+Two zstandard dictionaries come from labelled text: what zstandard's trainer picks from words of ordinary text,
+and, as plain content, the words that toxic labelled text uses more than ordinary text does. Every text is cut at words into windows of a few bytes; a window's
 distance is its compressed length with the ordinary dictionary less that with the ordinary and the toxic one.
 The largest and the mean distance, the share of windows beyond a threshold and their sum go through a logistic
 calibration fitted on labelled rows that trained no dictionary, shifted so that 0.5 is the threshold that
