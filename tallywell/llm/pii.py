@@ -1,15 +1,16 @@
 """PII: fixed patterns, and terms that reveal them, found by corpus co-occurrence.
 
-Protected entities are the identifiers that the patterns find. A term near an entity (a word within ``reach``
-words) reveals it as far as seeing the term tells that the entity is near: PMI(term, entity) measured over
-the corpus, against the entity's information IC(entity) = log(words / occurrences). Terms with
-PMI >= disclosure x IC in at least ``support`` different surroundings exceed the threshold; their spans near
-that entity are added and ``sanitise`` generalises them. Copies of a passage repeat one surrounding, so a
-copied document does not make its words revealing.
+Protected entities are the identifiers that the patterns find. A term anywhere in an entity's document reveals
+it as far as seeing the term tells that the entity is there: PMI(term, entity) over the corpus's documents,
+against the entity's information IC(entity) = log(documents / documents with it). Terms with
+PMI >= disclosure x IC in at least ``support`` different documents exceed the threshold; all their spans in that
+entity's documents are added and ``sanitise`` generalises them. Documents differ here by the ``passage`` words
+on either side of the entity: copies of a passage repeat them, so a copied document does not make its words revealing.
 
 Null texts are empty; an empty table gives an empty one; repeated rows give repeated results. Only the id and
 text columns are read (``sanitise`` keeps the others as they are). Counts cover all documents. The corpus
-count of candidate terms goes through a bitmap of fixed size, exact counts through joins on hashes.
+counts of entities and terms go through bitmaps of fixed size, exact counts through joins on hashes. Terms are paired only
+with entities that have the support themselves, so the pairs are at most those entities' documents times their terms.
 """
 
 from __future__ import annotations
@@ -36,11 +37,11 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-REACH = 5
+PASSAGE = 10
 SUPPORT = 3
 DISCLOSURE = 0.9
 BITS = 1 << 23
-LONGEST = 4  # letters that a term has at least
+CHUNK = 1 << 18  # rows that a task holds before it sends them
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -88,53 +89,95 @@ def _hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-_FOUND = "doc_id long, text_key long, n_words long, counts array<long>, base string, near array<struct<entity:long,term:long,around:long,start:long,end:long>>"
+def _entity(kind: int, found_text: str) -> int:
+    return _hash(f"{KINDS[kind]}:{found_text.lower() if kind == 0 else _digits(found_text) if kind > 1 else found_text}")
 
 
-def found(df: DataFrame, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: base spans as kind:start:end, joined, and the terms near them with their surroundings."""
+def _byte_spans(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The spans' places in the text's bytes."""
+    if text.isascii():
+        return [(s, e) for _, s, e in spans]
+    edges = sorted({x for _, *span in spans for x in span})
+    at, n, of = 0, 0, {}
+    for x in edges:
+        n += len(text[at:x].encode())
+        at, of[x] = x, n
+    return [(of[s], of[e]) for _, s, e in spans]
+
+
+def _free(start: np.ndarray, end: np.ndarray, taken: list[tuple[int, int]]) -> np.ndarray:
+    """Which words no span touches."""
+    taken = sorted(taken)
+    lo, hi = np.array([x for x, _ in taken]), np.maximum.accumulate(np.array([x for _, x in taken]))
+    before = np.searchsorted(lo, end, "left") - 1
+    return ~((before >= 0) & (hi[before] > start))
+
+
+_FOUND = "doc_id long, text_key long, counts array<long>, base string, entities array<struct<entity:long,passage:long>>"
+
+
+def found(df: DataFrame, passage: int = PASSAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: base spans as kind:start:end, joined, and its different entities with the words about them."""
     ready(df.sparkSession)
-    near_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "term", "around", "start", "end")]))
-    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("counts", pa.list_(pa.int64())), ("base", pa.string()), ("near", near_type)])
+    entities_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "passage")]))
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("counts", pa.list_(pa.int64())), ("base", pa.string()), ("entities", entities_type)])
 
     def run(batches):
         for ids, texts in texts_of(batches):
             w = words(texts, blank=MARKS)
-            code, start, end = signed(w.hash), w.start, w.end
+            code = signed(w.hash)
             out = []
             for k, (i, text) in enumerate(zip(ids, texts)):
                 spans = base_spans(text)
                 a, b, origin = int(w.first[k]), int(w.first[k + 1]), int(w.offset[k])
-                near = []
-                if spans:
-                    plain = text.isascii()
-                    place = (lambda c: c) if plain else (lambda c, t=text: len(t[:c].encode()))
-                    point = (lambda c: c) if plain else (lambda c, r=text.encode(): len(r[:c].decode()))
-                    taken = sorted((origin + place(s), origin + place(e)) for _, s, e in spans)
-                    lo = np.array([x for x, _ in taken])
-                    hi = np.maximum.accumulate(np.array([x for _, x in taken]))
-                    for kind, s, e in spans:
-                        entity = _hash(f"{KINDS[kind]}:{text[s:e].lower() if kind == 0 else _digits(text[s:e]) if kind > 1 else text[s:e]}")
-                        p, q = a + int(np.searchsorted(end[a:b], origin + place(s), "right")), a + int(np.searchsorted(start[a:b], origin + place(e), "left"))
-                        for j in [*range(max(a, p - reach), p), *range(q, min(b, q + reach))]:
-                            s1, e1 = int(start[j]), int(end[j])
-                            before = int(np.searchsorted(lo, e1, "left")) - 1
-                            if e1 - s1 < LONGEST or before >= 0 and hi[before] > s1:
-                                continue
-                            around = hash((int(code[j - 1]) if j > a else 0, int(code[j + 1]) if j + 1 < b else 0))
-                            near.append((entity, int(code[j]), around, point(s1 - origin), point(e1 - origin)))
+                about: dict[int, int] = {}  # an entity's passage in this document: the least of its places
+                for (kind, s, e), (s1, e1) in zip(spans, _byte_spans(text, spans)):
+                    p, q = a + int(np.searchsorted(w.end[a:b], origin + s1, "right")), a + int(np.searchsorted(w.start[a:b], origin + e1, "left"))
+                    around = hash((tuple(code[max(a, p - passage) : p].tolist()), tuple(code[q : min(b, q + passage)].tolist())))
+                    entity = _entity(kind, text[s:e])
+                    about[entity] = min(about.get(entity, around), around)
                 counts = [0] * len(KINDS)
                 for kind, _, _ in spans:
                     counts[kind] += 1
-                out.append((i, _hash(text), b - a, counts, ",".join([f"{KINDS[kind]}:{s}:{e}" for kind, s, e in spans]), [dict(zip(("entity", "term", "around", "start", "end"), x)) for x in near]))
+                out.append((i, _hash(text), counts, ",".join([f"{KINDS[kind]}:{s}:{e}" for kind, s, e in spans]), [{"entity": x, "passage": y} for x, y in about.items()]))
             yield rows_to_batch(schema, list(zip(*out)))
 
     return id_text(df, id_col, text_col).mapInArrow(run, _FOUND)
 
 
-def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+def _with_entities(batches, wanted: np.ndarray, passage: int | None = None):
+    """(id, text, word hashes, starts, ends in bytes, entities with their passages) of the texts that have an entity
+    whose bit is set; words are those that no span touches."""
+    for ids, texts in texts_of(batches):
+        kept = []
+        for i, text in zip(ids, texts):
+            spans = base_spans(text)
+            entities = [_entity(kind, text[s:e]) for kind, s, e in spans]
+            if any(wanted[e % wanted.size] for e in entities):
+                kept.append((i, text, spans, entities))
+        if not kept:
+            continue
+        w = words([x[1] for x in kept], blank=MARKS)
+        code = signed(w.hash)
+        for k, (i, text, spans, entities) in enumerate(kept):
+            a, b = int(w.first[k]), int(w.first[k + 1])
+            start, end, own = w.start[a:b] - w.offset[k], w.end[a:b] - w.offset[k], code[a:b]
+            places = _byte_spans(text, spans)
+            about: dict[int, int] = {}
+            for entity, (s, e) in zip(entities, places):
+                if wanted[entity % wanted.size]:
+                    around = 0
+                    if passage is not None:
+                        p, q = int(np.searchsorted(end, s, "right")), int(np.searchsorted(start, e, "left"))
+                        around = hash((tuple(own[max(0, p - passage) : p].tolist()), tuple(own[q : q + passage].tolist())))
+                    about[entity] = min(about.get(entity, around), around)
+            free = _free(start, end, places)
+            yield i, text, own[free], start[free], end[free], about
+
+
+def _bitmap(keys: DataFrame, bits: int, column: str = "term") -> np.ndarray:
     """A bitmap of the keys' residues: of fixed size, built by aggregation."""
-    place = F.pmod(F.col("term"), F.lit(bits))
+    place = F.pmod(F.col(column), F.lit(bits))
     rows = keys.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
     out = np.zeros(bits + 32768, bool)
     for b, m in rows:
@@ -145,8 +188,31 @@ def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
     return out[:bits]
 
 
+def pairs(df: DataFrame, entities: DataFrame, passage: int = PASSAGE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """entity, term, passage: each document's entities (those given, and ones that share their bit) with each of its terms."""
+    wanted = _bitmap(entities, bits, "entity")
+    ready(df.sparkSession)
+    schema = pa.schema([(n, pa.int64()) for n in ("entity", "term", "passage")])
+
+    def run(batches):
+        held, size = [], 0
+        for _, _, code, _, _, about in _with_entities(batches, wanted, passage):
+            terms = np.unique(code)
+            for entity, around in about.items():
+                held.append((np.full(terms.size, entity), terms, np.full(terms.size, around)))
+                size += terms.size
+                if size >= CHUNK:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*held)], schema=schema)
+                    held, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*held)], schema=schema)
+
+    rows = id_text(df, id_col, text_col)
+    return (rows if wanted.any() else rows.limit(0)).mapInArrow(run, "entity long, term long, passage long")
+
+
 def term_counts(df: DataFrame, candidates: DataFrame, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """term, n: how often the candidates (and terms that share their bit) occur in all texts."""
+    """term, n: in how many documents the candidates (and terms that share their bit) occur."""
     marked = _bitmap(candidates, bits)
     ready(df.sparkSession)
     schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
@@ -158,8 +224,14 @@ def term_counts(df: DataFrame, candidates: DataFrame, bits: int = BITS, id_col:
 
         held, size = [], 0
         for _, texts in texts_of(batches):
-            code = words(texts, blank=MARKS).hash
-            code = code[marked[np.mod(signed(code), bits)]]
+            w = words(texts, blank=MARKS)
+            on = np.flatnonzero(marked[np.mod(signed(w.hash), bits)])
+            code, doc = w.hash[on], np.searchsorted(w.first, on, "right")
+            order = np.lexsort((code, doc))
+            code, doc = code[order], doc[order]
+            first = np.ones(code.size, bool)
+            first[1:] = (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])
+            code = code[first]
             held.append(code)
             size += code.size
             if size > 1 << 20:
@@ -168,29 +240,60 @@ def term_counts(df: DataFrame, candidates: DataFrame, bits: int = BITS, id_col:
         if size:
             yield out(held)
 
-    return id_text(df, id_col, text_col).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    rows = id_text(df, id_col, text_col)
+    return (rows if marked.any() else rows.limit(0)).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def revealing(df: DataFrame, base: DataFrame, reach: int = REACH, support: int = SUPPORT, disclosure: float = DISCLOSURE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def revealing(df: DataFrame, base: DataFrame, passage: int = PASSAGE, support: int = SUPPORT, disclosure: float = DISCLOSURE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """entity, term, pmi, ic of the terms that exceed the disclosure threshold. ``base``: a kept ``found(df)``."""
-    near = base.select(F.explode("near").alias("x")).select("x.entity", "x.term", "x.around")
-    pairs = near.groupBy("entity", "term", "around").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n_pair")).filter(F.col("kinds") >= support)
-    pairs = cut(pairs)
-    total = base.agg(F.sum("n_words")).first()[0] or 0
-    entities = base.select(F.array_distinct("near.entity").alias("e")).select(F.explode("e").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    counts = term_counts(df, pairs.select("term"), bits, id_col, text_col)
-    n = F.lit(float(max(total, 2)))
-    out = pairs.join(entities, "entity").join(counts, "term")
-    pmi = F.log(F.least(F.col("n_pair") / F.col("n"), F.lit(1.0)) * n / (F.col("n_entity")))
-    ic = F.log(n / F.col("n_entity"))
+    kinds = lambda rows, *keys: rows.groupBy(*keys, "passage").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter(F.col("kinds") >= support)
+    entities = cut(kinds(base.select(F.explode("entities").alias("x")).select("x.entity", "x.passage"), "entity").select("entity", F.col("total").alias("n_entity")))
+    both = cut(kinds(pairs(df, entities, passage, bits, id_col, text_col), "entity", "term").select("entity", "term", F.col("total").alias("n_pair")))
+    counts = term_counts(df, both.select("term"), bits, id_col, text_col)
+    total = F.lit(float(max(base.count(), 2)))
+    out = both.join(entities, "entity").join(counts, "term")
+    pmi = F.log(F.least(F.col("n_pair") / F.col("n"), F.lit(1.0)) * total / F.col("n_entity"))
+    ic = F.log(total / F.col("n_entity"))
     return out.select("entity", "term", pmi.alias("pmi"), ic.alias("ic")).filter((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))
 
 
-def spans(df: DataFrame, reach: int = REACH, support: int = SUPPORT, disclosure: float = DISCLOSURE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+_PLACES = "doc_id long, text_key long, entity long, term long, start long, end long"
+
+
+def places(df: DataFrame, bad: DataFrame, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Where the terms of ``bad`` (entity, term) stand in the documents of its entities; pairs of others may be among them."""
+    entities, terms = _bitmap(bad, bits, "entity"), _bitmap(bad, bits)
+    ready(df.sparkSession)
+    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "text_key", "entity", "term", "start", "end")])
+
+    def run(batches):
+        held, size = [], 0
+        for i, text, code, start, end, about in _with_entities(batches, entities):
+            own = np.flatnonzero(terms[np.mod(code, bits)])
+            if not own.size:
+                continue
+            code, start, end, key = code[own], start[own], end[own], _hash(text)
+            if not text.isascii():  # from bytes to code points
+                points = np.concatenate([[0], np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80)])
+                start, end = points[start], points[end]
+            for entity in about:
+                held += zip([i] * own.size, [key] * own.size, [entity] * own.size, code.tolist(), start.tolist(), end.tolist())
+                size += own.size
+                if size >= CHUNK:
+                    yield rows_to_batch(schema, list(zip(*held)))
+                    held, size = [], 0
+        if held:
+            yield rows_to_batch(schema, list(zip(*held)))
+
+    rows = id_text(df, id_col, text_col)
+    return (rows if entities.any() else rows.limit(0)).mapInArrow(run, _PLACES)
+
+
+def spans(df: DataFrame, passage: int = PASSAGE, support: int = SUPPORT, disclosure: float = DISCLOSURE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, counts, base, terms (the revealing terms' spans, by start) of every row."""
-    base = cut(found(df, reach, id_col, text_col))
-    bad = revealing(df, base, reach, support, disclosure, id_col=id_col, text_col=text_col).select("entity", "term")
-    hits = base.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.entity", "x.term", "x.start", "x.end").join(bad, ["entity", "term"])
+    base = cut(found(df, passage, id_col, text_col))
+    bad = cut(revealing(df, base, passage, support, disclosure, id_col=id_col, text_col=text_col).select("entity", "term"))
+    hits = places(df, bad, id_col=id_col, text_col=text_col).join(bad, ["entity", "term"])
     terms = hits.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
     joined = base.alias("b").join(terms.alias("t"), F.col("b.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("b.text_key") == F.col("t.text_key")), "left")
     return joined.select("b.doc_id", "b.text_key", "b.counts", "b.base", F.coalesce(F.col("t.terms"), F.array().cast("array<struct<start:long,end:long>>")).alias("terms"))

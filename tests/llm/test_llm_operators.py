@@ -435,6 +435,20 @@ def test_pii_terms(spark):
     assert "joe" not in clean[0] and "Zanzibaroo" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == texts[10] and clean[len(texts) - 1] is None
 
 
+def test_pii_terms_anywhere_in_the_document(spark):
+    rng = random.Random(7)
+    fill = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma"]) for _ in range(n))
+    texts = [f"é {fill(30)} John Smith <john@site.org> {fill(40)} Ljo Farawayname {fill(9)}" for _ in range(5)] + [fill(200) for _ in range(60)]
+    texts += [f"fixed words {fill(0)}about Copyword " + "one two three four five six seven eight nine ten mary@site.org one two three four five six seven eight nine ten " + f"end{i}" for i in range(6)]
+    rows = [r["spans"].split(",") for r in sorted(pii.digest(pii.spans(frame(spark, texts))).collect(), key=lambda r: r["doc_id"])]
+    for text, spans in zip(texts[:5], rows):
+        for term in ("Smith", "Ljo", "Farawayname"):  # fixed neighbours, few letters, far from the entity
+            assert f"term:{text.index(term)}:{text.index(term) + len(term)}" in spans
+    assert not any("term" in x for spans in rows[5:] for x in spans)  # one passage in many documents counts once
+    clean = pii.sanitise(frame(spark, texts)).filter("doc_id = 0").first()["text"]
+    assert "Smith" not in clean and "Farawayname" not in clean and "alpha" in clean
+
+
 # --- 10
 
 SECRETS = (("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), ("access", r"AKIA[A-Z0-9]+"), ("hex", r"[0-9a-f]+"))
