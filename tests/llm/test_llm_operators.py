@@ -90,6 +90,27 @@ def test_quality_base_and_bands(spark):
     assert kept == {i for i, r in rows.items() if r["kept"]}
 
 
+def test_quality_keeps_languages_apart(spark):
+    rng = np.random.default_rng(5)
+    word = lambda letters: "".join(rng.choice(list(letters), 5))
+    text = lambda letters: " ".join(word(letters) for _ in range(60))
+    assert zlib.crc32(b"en") % 64 == zlib.crc32(b"ro") % 64  # names that once shared a model
+    rows = [("etaoinshr", "en")] * 400 + [("qxzjkvwyfb", "ro")] * 25 + [("etaoinshr", None)] * 25 + [("mpclgd", f"rare{k}") for k in range(5)]
+    docs = [(i, text(letters), lang) for i, (letters, lang) in enumerate(rows)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in quality.judged(df).filter("kept").collect()}
+    assert len(kept & set(range(400))) >= 392 and len(kept & set(range(400, 425))) >= 23 and len(kept & set(range(425, 450))) >= 23
+    assert quality.numbers(df) == {None: 1, "en": 2, "ro": 3}
+    assert {r["doc_id"] for r in quality.good_rows(df).collect()} == kept
+
+
+def test_quality_beyond_the_tables_held(spark, monkeypatch):
+    m = quality.model({k: (np.unique(quality.codes([t])[0], return_counts=True)) for k, t in enumerate(["abracadabra", "banana band"])})
+    whole = quality.Scorer(m).log_perplexity([0, 1], ["abra", "band"])
+    monkeypatch.setattr(quality, "LANGUAGES", 1)
+    assert quality.Scorer(m).log_perplexity([0, 1], ["abra", "band"]) == pytest.approx(whole)
+
+
 def test_kneser_ney_matches_dictionaries():
     texts = ["abracadabra", "abcabcabd", "ab"]
     code, _ = quality.codes(texts)
