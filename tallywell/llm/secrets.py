@@ -1,10 +1,11 @@
 """Secret scans with DataFrame functions only: fixed patterns and a randomness test battery.
 
-Candidate runs are long runs of encoding characters. Each run's encoding (hex, base32, base62, base64) gives
+Candidate runs are long runs of encoding characters, cut at equals signs that are no padding at the end; a run of
+both base64 alphabets' signs is taken as its long parts between the signs of either. Each run's encoding (hex, base32, base62, base64) gives
 an alphabet, and three tests ask whether its characters look uniform and independent: chi-squared over the
 alphabet, Wald-Wolfowitz runs about the alphabet's middle, and the lag-one serial correlation. A run that no
 test rejects is a discovery if it is also too unlikely as ordinary text: the likelihood ratio of the uniform
-alphabet against the letters of the corpus's own long words bounds the p-value of "this is ordinary text"
+alphabet against the letters of the corpus bounds the p-value of "this is ordinary text"
 (p <= 1 / ratio), and the Benjamini-Hochberg rule controls the false discovery rate within bands of length.
 The rule needs counts of runs by band and ratio only, a table of fixed size.
 
@@ -28,12 +29,16 @@ ASSIGN_VALUE = r"""^(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 RANDOM = "random"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_-]{20,}(?:=++(?![A-Za-z0-9+/_-]))?"
+LEAST = 20  # characters of a run
 
 # Encodings: pattern and alphabet, the first that fits counts; signs of padding are no part of it.
 ENCODINGS = (
+    ("digits", "^[0-9]+$", "0123456789"),
     ("hex", "^[0-9a-f]+$", "0123456789abcdef"),
     ("HEX", "^[0-9A-F]+$", "0123456789ABCDEF"),
+    ("lower", "^[a-z]+$", "abcdefghijklmnopqrstuvwxyz"),
+    ("upper", "^[A-Z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("base36", "^[a-z0-9]+$", "abcdefghijklmnopqrstuvwxyz0123456789"),
     ("base62", "^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
@@ -66,19 +71,36 @@ def matches(text: Column, pattern: str) -> Column:
     return F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), zero, step, lambda x: x["out"])
 
 
+def _parts(x: Column, signs: str) -> Column:
+    """The parts of a run between the signs, with their places, that are long enough."""
+    empty = F.array().cast("array<struct<s:long,e:long,m:string>>")
+    zero = F.struct(x["s"].alias("at"), empty.alias("out"))
+
+    def step(state: Column, m: Column) -> Column:
+        end = state["at"] + F.length(m)
+        part = F.struct(state["at"].alias("s"), end.alias("e"), m.alias("m"))
+        return F.struct((end + 1).alias("at"), F.when(F.length(m) >= LEAST, F.concat(state["out"], F.array(part))).otherwise(state["out"]).alias("out"))
+
+    return F.aggregate(F.split(x["m"], signs), zero, step, lambda y: y["out"])
+
+
+def candidates(runs: Column) -> Column:
+    """The runs, those that mix the signs of both base64 alphabets as their parts by either."""
+    mixed = lambda x: x["m"].rlike("[+/]") & x["m"].rlike("[_-]")
+    return F.flatten(F.transform(runs, lambda x: F.when(mixed(x), F.array_union(_parts(x, "[_-]"), _parts(x, "[+/]"))).otherwise(F.array(x))))
+
+
 def found(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, assign, access, hex (matches), runs (candidates of the battery), letters (counts in long words)."""
+    """doc_id, assign, access, hex (matches), runs (candidates of the battery), letters (counts in the text)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), matches(text, ASSIGN).alias("assign"), matches(text, ACCESS).alias("access"), matches(text, HEX).alias("hex"), matches(text, RUN).alias("run"))
-    mixed = lambda m: (m.rlike("[0-9]") & m.rlike("[A-Za-z]")) | m.rlike("[a-z][A-Z].*[a-z][A-Z]")
-    words = F.lower(F.array_join(F.transform(F.filter("run", lambda x: ~mixed(x["m"])), lambda x: x["m"]), ""))
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), matches(text, ASSIGN).alias("assign"), matches(text, ACCESS).alias("access"), matches(text, HEX).alias("hex"), candidates(matches(text, RUN)).alias("runs"), F.lower(text).alias("words"))
     rows = rows.select(
         "doc_id",
         F.filter("assign", lambda x: F.length(F.regexp_extract(x["m"], ASSIGN_VALUE, 1)) >= 8).alias("assign"),
         F.filter("access", lambda x: F.length(x["m"]) >= 16).alias("access"),
         "hex",
-        F.filter("run", lambda x: mixed(x["m"])).alias("runs"),
-        words.alias("words"),
+        "runs",
+        "words",
     )
     places = lambda c: F.transform(c, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
     counts = F.array(*[(F.length("words") - F.length(F.replace(F.col("words"), F.lit(c), F.lit("")))).cast("long") for c in LETTERS])
@@ -168,6 +190,9 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", level:
     limit = lambda n: F.coalesce(*[F.when(_band(n) == b, F.lit(v)) for b, v in sorted(least.items())], F.lit(math.inf))
     covered = F.concat(*KINDS)
     good = F.filter("tested", lambda x: (x["p"] >= level) & (x["ratio"] >= limit(x["n"])) & ~F.exists(covered, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])))
+    # a part by one alphabet's signs may lie in a part by the other's
+    inside = lambda x, y: (y["s"] <= x["s"]) & (x["e"] <= y["e"]) & (y["e"] - y["s"] > x["e"] - x["s"])
+    good = F.filter(good, lambda x: ~F.exists(good, lambda y: inside(x, y)))
     return tested.select("doc_id", *KINDS, F.transform(good, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(RANDOM))
 
 

@@ -499,6 +499,27 @@ def test_secrets(spark):
     assert sum(found) >= 18 and not any("random" in rows[i]["spans"] for i in range(80, len(texts)))
 
 
+def test_secrets_behind_names_and_of_one_case(spark):
+    rng = random.Random(8)
+    pick = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    b62 = lower + lower.upper() + "0123456789"
+    how = [("export AWS_SECRET_ACCESS_KEY=", b62), ("sessionid=", b62 + "+/"), ("see a+b/c-d/", b62 + "_-"), ("so ", lower), ("so ", lower.upper()), ("so ", "0123456789")]
+    made = [(head, pick(alphabet, 28 if alphabet.isdigit() else 48)) for head, alphabet in how for _ in range(10)]
+    plain = ["the letters of ordinary english text are not alike " * 5, "some/long-path/with_names/and-more_names/of-things", "thereisnothingtoseeherejustwordsruntogether"]
+    texts = [head + x for head, x in made] + plain * 100
+    rows = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.spans(frame(spark, texts))).collect()}
+    def covered(i):  # parts by the signs of both alphabets may overlap
+        got = [tuple(map(int, x.split(":")[1:])) for x in rows[i].split(",") if x.startswith("random")]
+        return sum(any(s <= at < e for s, e in got) for at in range(len(made[i][0]), len(texts[i]))) >= 0.8 * len(made[i][1])
+
+    for k in range(len(how)):
+        own = range(10 * k, 10 * k + 10)
+        assert sum(covered(i) for i in own) >= 8, (k, [(texts[i], rows[i]) for i in own])
+        assert k == 2 or sum(rows[i] == f"random:{len(made[i][0])}:{len(texts[i])}" for i in own) >= 8
+    assert not (wrong := [(texts[i], rows[i]) for i in range(len(made), len(texts)) if rows[i]]), wrong
+
+
 def test_battery_levels(spark):
     from pyspark.sql import functions as F
 
