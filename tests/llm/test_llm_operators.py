@@ -90,6 +90,19 @@ def test_quality_base_and_bands(spark):
     assert kept == {i for i, r in rows.items() if r["kept"]}
 
 
+def test_quality_models_are_those_of_their_table(spark):
+    """Workers live on between tables: each table must be judged by its own model, also after an empty one."""
+    rng = np.random.default_rng(12)
+    word = lambda letters: "".join(rng.choice(list(letters), 5))
+    text = lambda letters: " ".join(word(letters) for _ in range(60))
+    first = frame(spark, [text("etaoinshr") for _ in range(80)] + [text("QXZ#$%&")])
+    second = frame(spark, [text("QXZ") for _ in range(80)] + [text("etaoinshr")])
+    for df in (first, frame(spark, []), second, first, second, frame(spark, [None])):
+        want = {r["doc_id"] for r in quality.judged(df).filter("kept").collect()}
+        assert {r["doc_id"] for r in quality.good_rows(df).collect()} == want
+        assert df.count() < 2 or len(want & set(range(80))) >= 78 and 80 not in want
+
+
 def test_quality_keeps_languages_apart(spark):
     rng = np.random.default_rng(5)
     word = lambda letters: "".join(rng.choice(list(letters), 5))
@@ -104,19 +117,45 @@ def test_quality_keeps_languages_apart(spark):
     assert {r["doc_id"] for r in quality.good_rows(df).collect()} == kept
 
 
-def test_quality_beyond_the_tables_held(spark, monkeypatch):
-    m = quality.model({k: (np.unique(quality.codes([t])[0], return_counts=True)) for k, t in enumerate(["abracadabra", "banana band"])})
-    whole = quality.Scorer(m).log_perplexity([0, 1], ["abra", "band"])
+def test_quality_alphabets_of_other_scripts(spark):
+    """Cyrillic letters have classes of their own, so scrambled ones are told from words; failed texts train nothing."""
+    rng = np.random.default_rng(3)
+    stems = ["".join(rng.choice(list("абвгдежзиклмнопрст"), 6)) for _ in range(50)]
+    texts = [" ".join(rng.choice(stems, 60)) for _ in range(60)] + [" ".join("".join(rng.choice(list("абвгдежзиклмнопрст"), 6)) for _ in range(60))]
+    texts += ["ъъъ ыыы ююю " * 30]
+    df = frame(spark, texts)
+    known = quality.numbers(df)
+    assert quality.alphabets(df, known)[1] == tuple(sorted({ord(c) for t in texts for c in t}))
+    letters = quality.alphabets(df, known)
+    n = Counter()
+    for t in texts[:-1]:
+        n.update(quality.codes([t], letters[1])[0].tolist())
+    assert {r["code"]: r["n"] for r in quality.counts(df, known, letters).collect()} == n
+    kept = {r["doc_id"] for r in quality.judged(df).filter("kept").collect()}
+    assert len(kept & set(range(60))) >= 58 and 60 not in kept and 61 not in kept
+
+
+LETTERS = tuple(range(97, 123))
+
+
+def model_of(lang, texts):
+    return quality.model_of(lang, *np.unique(quality.codes(texts, LETTERS)[0], return_counts=True))
+
+
+def test_quality_beyond_the_tables_held(monkeypatch):
+    rules = quality.Rules({}, {0: LETTERS, 1: LETTERS}, {k: model_of(k, [t]) for k, t in enumerate(["abracadabra", "banana band"])})
+    whole = quality.Scorer(rules).log_perplexity([0, 1], ["abra", "band"])
     monkeypatch.setattr(quality, "LANGUAGES", 1)
-    assert quality.Scorer(m).log_perplexity([0, 1], ["abra", "band"]) == pytest.approx(whole)
+    assert quality.Scorer(rules).log_perplexity([0, 1], ["abra", "band"]) == pytest.approx(whole)
 
 
 def test_kneser_ney_matches_dictionaries():
     texts = ["abracadabra", "abcabcabd", "ab"]
-    code, _ = quality.codes(texts)
+    code, first = quality.codes(texts, LETTERS)
+    assert first.tolist() == [0, 12, 22, 25] and code[:3].tolist() == [1, 1 << 6 | 2, 1 << 12 | 2 << 6 | 18] and code[24] == (1 << 12 | 2 << 6)
     n = np.bincount(code, minlength=64**3)
     at = np.flatnonzero(n)
-    m = quality.model({5: (at, n[at])})
+    m = quality.model_of(5, at, n[at])
     c3 = {(int(k) >> 12, int(k) >> 6 & 63, int(k) & 63): int(n[k]) for k in at}
     c2 = Counter((b, c) for _, b, c in c3)
     c1 = Counter(c for _, c in c2)
@@ -132,10 +171,10 @@ def test_kneser_ney_matches_dictionaries():
     def p(a, b, c):
         return level(c3, (a, b), c, level(c2, (b,), c, level(c1, (), c, 1 / 64)))
 
-    some = [(0, 0, 4), (4, 5, 21), (5, 21, 4), (4, 4, 4), (63, 62, 61), (5, 4, 9)]
+    some = [(0, 0, 1), (1, 2, 18), (2, 18, 1), (1, 1, 1), (63, 62, 61), (2, 1, 9)]
     got = np.exp2(quality.log_probability(m, 5, np.array([a << 12 | b << 6 | c for a, b, c in some])))
     assert got == pytest.approx([p(*x) for x in some], rel=1e-5)
-    for context in (4 << 12 | 5 << 6, 62 << 12 | 61 << 6):
+    for context in (1 << 12 | 2 << 6, 62 << 12 | 61 << 6):
         assert np.exp2(quality.log_probability(m, 5, context | np.arange(64))).sum() == pytest.approx(1, rel=1e-5)
 
 
