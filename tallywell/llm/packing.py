@@ -15,6 +15,8 @@ gives an empty one. Only the id and text columns are read.
 from __future__ import annotations
 
 import functools
+import json
+import re
 import zlib
 
 import numpy as np
@@ -27,25 +29,50 @@ from tallywell.llm.common import cut, id_text, ready, rows_to_batch, texts_of
 LENGTH = 2048
 GRAIN = 8
 END = 1
-SALTS = 64  # parts in which a class is ranked
+RANKED = 500_000  # pieces of a class that one task ranks, about
+LONG = 1000
 
 
 @functools.cache
-def _encoder(path: str):
-    """The vocabulary and merges of a tokenizer file of byte-level BPE, run by the faster of two libraries;
-    both give the same ids (held against each other in the tests)."""
-    import json
+def encoder(path: str):
+    """text -> ids by a tokenizer file of byte-level BPE, as its own library gives them.
 
+    The vocabulary and merges run in the faster of two libraries. Added tokens (special strings) are cut out
+    first, as the file's library does. That one encodes by itself what the faster cannot: files with a normaliser
+    or added tokens that take in blanks, and texts with LONG blanks in a row.
+    """
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path)
+
+    def by_library(text: str) -> list[int]:
+        return whole.encode(text, add_special_tokens=False).ids
 
     with open(path) as f:
-        model = json.load(f)["model"]
+        file = json.load(f)
+    added = {t["content"]: t for t in file["added_tokens"]}
+    if file.get("normalizer") or any(t[k] for t in added.values() for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        return by_library
     # Fixed rule of byte-level BPE: printable bytes stand for themselves, the others for 256 and up.
     keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
     stands = {chr(b): b for b in keep} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in keep)}
-    ranks = {bytes(stands[c] for c in word): i for word, i in model["vocab"].items() if all(c in stands for c in word) and not word.startswith("<|")}
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {bytes(stands[c] for c in word): i for word, i in file["model"]["vocab"].items() if all(c in stands for c in word) and word not in added}
+    plain = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    marks = re.compile("|".join(f"({re.escape(c)})" for c in sorted(added, key=len, reverse=True)) or "(?!)")
+    blanks = re.compile(rf"\s{{{LONG}}}")
+
+    def encode(text: str) -> list[int]:
+        if blanks.search(text):
+            return by_library(text)
+        out, at = [], 0
+        for m in marks.finditer(text):
+            out += [*plain(text[at : m.start()]), added[m[0]]["id"]]
+            at = m.end()
+        return out + plain(text[at:]) if at else plain(text)
+
+    return encode
 
 
 def pieces(df: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -55,7 +82,7 @@ def pieces(df: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 
     def run(batches):
-        encode = _encoder(path).encode_ordinary
+        encode = encoder(path)
         for ids, texts in texts_of(batches):
             out = []
             for i, text in zip(ids, texts):
@@ -171,28 +198,34 @@ def schedule(planned: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int,
     return rows
 
 
-def pack(cut_pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN) -> DataFrame:
-    """cut_pieces with sequence_id and offset. A class's pieces are ranked in salted parts, whose sizes give each
-    part's first rank, so no task ranks a whole class, however common a length is."""
+def pack(cut_pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN, ranked: int = RANKED) -> DataFrame:
+    """cut_pieces with sequence_id and offset. A class's pieces are ranked in parts of about ``ranked``, whose sizes
+    give each part's first rank, so no task ranks a whole class, however common a length is."""
     spark = cut_pieces.sparkSession
-    kept = cut(cut_pieces.withColumn("kind", F.ceil(F.col("length") / grain).cast("int")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS)).cast("int")))
-    parts = kept.groupBy("kind", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # at most length / grain x SALTS rows
+    kept = cut(cut_pieces.withColumn("kind", F.ceil(F.col("length") / grain).cast("int")))
+    parts = np.ones(length // grain + 1, np.int64)
+    for kind, n in kept.groupBy("kind").agg(F.count(F.lit(1))).collect():
+        parts[kind] = -(-n // ranked)
+    salt = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.get(F.array(*[F.lit(int(n)) for n in parts]), F.col("kind")))
+    kept = kept.withColumn("salt", salt.cast("int"))
     demand = np.zeros(length // grain, np.int64)
     first = []
-    for kind, salt, n in sorted(map(tuple, parts)):
-        first.append((kind, salt, int(demand[kind - 1])))
+    for kind, part, n in sorted(map(tuple, kept.groupBy("kind", "salt").agg(F.count(F.lit(1))).collect())):
+        first.append((kind, part, int(demand[kind - 1])))
         demand[kind - 1] += n
     rows = schedule(plan(demand))
-    # the sizes of both tables are bounded by classes x salts and by classes x pieces of a pattern
+    # the first table has a row for each ``ranked`` pieces and class, the other one for each class of a pattern
     starts = spark.createDataFrame(first, "kind int, salt int, before long")
     where = spark.createDataFrame(rows, "kind int, first_rank long, ranks long, per_sequence long, first_sequence long, order int")
     where = where.groupBy("kind").agg(F.sort_array(F.collect_list(F.struct("first_rank", "ranks", "per_sequence", "first_sequence", "order"))).alias("spans"))
     rank = F.row_number().over(Window.partitionBy("kind", "salt").orderBy("doc_id", "start", "ids_crc32"))
-    ranked = kept.withColumn("rank", rank).join(F.broadcast(starts), ["kind", "salt"]).withColumn("rank", F.col("rank") - 1 + F.col("before")).join(F.broadcast(where), "kind")
+    placed = kept.withColumn("rank", rank).join(F.broadcast(starts), ["kind", "salt"]).withColumn("rank", F.col("rank") - 1 + F.col("before")).join(F.broadcast(where), "kind")
     span = F.get(F.filter("spans", lambda s: (F.col("rank") >= s["first_rank"]) & (F.col("rank") < s["first_rank"] + s["ranks"])), F.lit(0))
-    placed = ranked.withColumn("span", span).withColumn("sequence_id", (F.col("span.first_sequence") + F.floor((F.col("rank") - F.col("span.first_rank")) / F.col("span.per_sequence"))).cast("long"))
+    sequence = F.col("span.first_sequence") + F.floor((F.col("rank") - F.col("span.first_rank")) / F.col("span.per_sequence"))
+    placed = placed.withColumn("span", span).withColumn("sequence_id", sequence.cast("long"))
     inside = Window.partitionBy("sequence_id").orderBy("span.order", "rank").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    offset = F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")
+    return placed.withColumn("offset", offset).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def packed(df: DataFrame, path: str, length: int = LENGTH, grain: int = GRAIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -425,7 +425,6 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(p.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     rng = np.random.default_rng(8)
     texts = [prose(rng, int(rng.integers(1, 1500))) for _ in range(120)] + [None, "", "<|endoftext|> it's so", "same"] + ["same"] * 40
     rows = packing.packed(frame(spark, texts), p.path("byte_bpe_50k.json")).toPandas()
@@ -440,6 +439,21 @@ def test_packing(spark):
     assert rows["length"].sum() / (rows["sequence_id"].nunique() * packing.LENGTH) > 0.95
 
 
+_LIBRARY = None
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab' \n\t<|endoftext>é漢1.", max_size=80) | st.lists(st.sampled_from(["<|endoftext|>", " ", "<|", "it's"]), max_size=9).map("".join))
+def test_packing_ids_are_the_library_s(text):
+    import public_tokenizers as p
+    from tokenizers import Tokenizer
+
+    path = p.path("byte_bpe_50k.json")
+    global _LIBRARY
+    _LIBRARY = _LIBRARY or Tokenizer.from_file(path)
+    assert list(packing.encoder(path)(text)) == _LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 def test_plan_covers_demand():
     rng = np.random.default_rng(1)
     for n in (0, 1, 50, 20_000):
