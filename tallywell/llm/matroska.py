@@ -196,9 +196,17 @@ def _uint(b: bytes, s: int, e: int) -> int:
 
 
 def _real(b: bytes, s: int, e: int) -> float:
+    if e - s not in (0, 4, 8):
+        raise ValueError(f"a float of {e - s} bytes at byte {s}")
     return 0.0 if s == e else float(np.frombuffer(b[s:e], f">f{e - s}")[0])
 
 
+def _within(x: int, bits: int, what: str) -> int:
+    if not -(1 << (bits - 1)) <= x < 1 << (bits - 1):
+        raise ValueError(f"{what} {x} does not fit {bits} bits")
+    return x
+
+
 def unlace(b: bytes, at: int, end: int, flags: int) -> tuple[str, list[tuple[int, int]]]:
     """The lacing's name and each frame's (offset, size)."""
     kind = flags & 0x06
@@ -251,9 +259,10 @@ def parse(b: bytes) -> Media:
             raise ValueError(f"cut block at byte {s}")
         time, flags = int.from_bytes(b[at : at + 2], "big", signed=True), b[at + 2]
         kind, frames = unlace(b, at + 3, e, flags)
-        step = durations.get(track, 0) or (spread * scale // len(frames) if spread else 0)
+        step = durations.get(track, 0) or (spread * scale // max(1, len(frames)) if spread else 0)
         for k, (o, n) in enumerate(frames):
-            packets.append(Packet(track, (base + time) * scale + k * step, o, n, len(clusters) - 1, n_block, kind, bool(flags & 0x80) if simple else spread is None or spread >= 0))
+            at_ns = _within((base + time) * scale + k * step, 64, "timestamp")
+            packets.append(Packet(_within(track, 32, "track"), at_ns, o, n, len(clusters) - 1, n_block, kind, bool(flags & 0x80) if simple else spread is None or spread >= 0))
         n_block += 1
 
     found = False
@@ -387,14 +396,19 @@ def text_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def media_digest(df: DataFrame) -> DataFrame:
-    """Parses ``media`` of doc_id, n_bytes, media and gives the digests and features of what was read back."""
+    """Parses ``media`` of doc_id, n_bytes, media and gives the digests and features of what was read back; nulls
+    for bytes that don't parse."""
     ready(df.sparkSession)
 
     def run(batches):
         for batch in batches:
             out = []
             for i, n, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "media"))):
-                media = parse(raw)
+                try:
+                    media = parse(raw or b"")
+                except ValueError:
+                    out.append((i, n, *[None] * 6))
+                    continue
                 back = samples(raw, media)
                 out.append((i, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(raw), hashlib.sha256(raw).hexdigest(), feature(raw, media)))
             yield rows_to_batch(_DIGEST, list(zip(*out)) if out else [[]] * len(_DIGEST))

@@ -1,6 +1,7 @@
 """Each operator against brute force, an exact round trip, or held-out accuracy."""
 
 import base64
+import contextlib
 import hashlib
 import itertools
 import math
@@ -70,6 +71,40 @@ def test_packet_table(spark):
     assert sum(r["size"] for r in rows if r["id"] == 1) == 5120 and [r["error"] is not None for r in rows if r["id"] == 3] == [True] and not [r for r in rows if r["id"] == 2]
 
 
+def test_matroska_any_damage_is_a_value_error(spark):
+    head = matroska.element(matroska.INFO, matroska.element(matroska.DURATION, b"abc"))
+    late = matroska.element(matroska.CLUSTER, matroska.uint(matroska.TIMESTAMP, 1 << 63) + matroska.element(matroska.SIMPLE_BLOCK, b"\x81\x00\x00\x80abc"))
+    track = matroska.element(matroska.CLUSTER, matroska.element(matroska.SIMPLE_BLOCK, b"\x01" + b"\xfe" * 7 + b"\x00\x00\x80abc"))
+    bad = [matroska.element(matroska.SEGMENT, x) for x in (head, late, track)]
+    good, rng = matroska.write(bytes(range(256)) * 40), random.Random(4)
+    for raw in bad:
+        with pytest.raises(ValueError):
+            matroska.parse(raw)
+    for _ in range(3000):
+        raw = bytearray(good)
+        for _ in range(rng.randrange(1, 6)):
+            raw[rng.randrange(len(raw) if rng.random() < 0.3 else 400)] = rng.randrange(256)
+        with contextlib.suppress(ValueError):
+            matroska.parse(bytes(raw))
+    df = spark.createDataFrame([(k, 3, bytearray(x)) for k, x in enumerate(bad)] + [(9, 5, None)], "doc_id long, n_bytes long, media binary")
+    assert [r["error"] is not None for r in matroska.packet_table(df, "doc_id", "media").collect()] == [True] * 3
+    assert [(r["n_bytes"], r["payload_sha256"]) for r in matroska.media_digest(df).orderBy("doc_id").collect()] == [(3, None)] * 3 + [(5, None)]
+
+
+def test_op1_columns_match_plain_python(spark):
+    texts = [None, "", "x", "é" * 31, "y" * 64, "z" * 65, "long words " * 9000]
+    rows = {r["doc_id"]: r for r in matroska.media_digest(matroska.text_media(frame(spark, texts))).collect()}
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        payload = raw + bytes(64 * max(1, -(-len(raw) // 64)) - len(raw))
+        media = matroska.write(payload)
+        r = rows[i]
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest())
+        assert (r["tail_crc32"], r["media_bytes"], r["media_sha256"]) == (zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest())
+        got = dict(x.split("=") for x in r["feature"].split(";"))
+        assert int(got["packets"]) == -(-len(payload) // 512) and int(got["blocks"]) == -(-len(payload) // 4096) and float(got["mean"]) == pytest.approx(sum(payload) / len(payload), abs=1e-4)
+
+
 # --- 2
 
 
@@ -263,6 +298,16 @@ def test_bpe_any_text(tokenizer, texts):
     assert bpe.loaded(tokenizer[0]).encode(texts) == [tokenizer[1].encode_ordinary(t) for t in texts]
 
 
+def test_op5_columns_match_the_library(spark, tokenizer):
+    path, library = tokenizer
+    texts = [None, "", "it's  all\n\n right", "é漢😀 <|endoftext|>", " " * 400 + "x" * 400, "1234 and more " * 3000]
+    rows = {r["doc_id"]: r for r in bpe.round_trip(frame(spark, texts), path).collect()}
+    for i, t in enumerate(texts):
+        ids = library.encode_ordinary(t or "")
+        want = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+        assert (rows[i]["n_tokens"], rows[i]["ids_sha256"], rows[i]["decoded_sha256"]) == want
+
+
 def test_scan_is_the_automaton():
     rng = np.random.default_rng(0)
     f, _ = bpe.monoid()
