@@ -629,3 +629,72 @@ def test_battery_levels(spark):
     rows = df.select("kind", F.explode(secrets.battery(F.col("runs"), [1 / 26] * 26)).alias("x")).select("kind", "x.*").collect()
     rejected = {k: np.mean([r["p"] < 0.01 for r in rows if r["kind"] == k]) for k in "uo"}
     assert rejected["u"] < 0.04 and rejected["o"] > 0.9
+
+
+def plain_battery(m):
+    """Chi-squared, runs and serial statistics, plainly; p by the normal tail within the operator's error."""
+    alphabet = next((a for _, p, a in secrets.ENCODINGS if re.fullmatch(p.strip("^$"), m)), None)
+    if alphabet is None:
+        return None
+    n, k, v = len(m), len(alphabet), [alphabet.index(c) for c in m]
+    tail = lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+    chi = sum((v.count(x) - n / k) ** 2 / (n / k) for x in range(k))
+    z1 = ((max(chi, 0) / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    high = [2 * x >= k for x in v]
+    a, b = sum(high), n - sum(high)
+    runs = 1 + sum(x != y for x, y in zip(high, high[1:]))
+    spread = 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
+    z2 = abs(runs - (2 * a * b / n + 1)) / math.sqrt(spread) if spread > 0 else 9
+    mean = sum(v) / n
+    square = sum((x - mean) ** 2 for x in v)
+    z3 = abs(sum((x - mean) * (y - mean) for x, y in zip(v, v[1:])) / square) * math.sqrt(n) if square else 9
+    return min(1, 3 * min(tail(z1), 2 * tail(z2), 2 * tail(z3)))
+
+
+def test_battery_matches_plain_python(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(rng.choice(secrets.ENCODINGS)[2][: rng.choice([4, 40, 64])]) for _ in range(rng.randrange(20, 90))) for _ in range(150)]
+    texts += ["".join(rng.choice(a) for _ in range(40)) for _, _, a in secrets.ENCODINGS] + ["A" * 30]
+    runs = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.length("m").cast("long").alias("e"), "m"))
+    rows = spark.createDataFrame([(m,) for m in texts], "m string").select("m", F.explode_outer(secrets.battery(runs, [1 / 26] * 26)).alias("x")).collect()
+    for r in rows:
+        want = plain_battery(r["m"])
+        assert (r["x"] is None) == (want is None)
+        assert want is None or r["x"]["p"] == pytest.approx(want, abs=2e-3)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(0, 120), st.integers(1, 50), max_size=12), st.integers(0, 500))
+def test_discoveries_are_benjamini_hochberg(counts, others):
+    p = sorted([math.exp(-b / 10) for b, n in counts.items() if b for _ in range(n)] + [1.0] * (others + counts.get(0, 0)))
+    good = [k for k, x in enumerate(p, 1) if x < 1 and x <= 0.05 * k / len(p)]
+    least = secrets.discoveries(counts, max(1, len(p)), 0.05)
+    assert (least is None) == (not good)
+    if good:
+        assert sum(n for b, n in counts.items() if b >= least) == good[-1]
+
+
+def test_random_runs_precision_and_recall(spark):
+    """Random strings that no fixed pattern finds, among words, names and paths."""
+    rng = random.Random(21)
+    pick = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = "the of and to in is that for it with as was on be at by this have from or had not are but some what there we can out other were all your when up use".split()
+    planted = {i: pick(rng.choice([b62, b62 + "+/", b62 + "-_", "0123456789ABCDEF"]), rng.randrange(40, 70)) for i in range(0, 400, 8)}
+    texts = []
+    for i in range(400):
+        glue = rng.choice([" ", " ", "-", "_", "/", ""])
+        texts.append(" ".join(rng.choices(words, k=30)) + " " + glue.join(rng.choices(words, k=12)) + " " + planted.get(i, "end") + " " + rng.choice(words))
+    rows = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.spans(frame(spark, texts))).collect()}
+    want = {i: f"random:{texts[i].index(x)}:{texts[i].index(x) + len(x)}" for i, x in planted.items()}
+    hit = sum(rows[i] == w for i, w in want.items())
+    wrong = [texts[i] for i in rows if i not in want and rows[i]]
+    assert hit >= 0.9 * len(want) and len(wrong) <= 4, (hit, wrong)
+
+
+def test_secrets_in_long_texts_take_linear_time(spark):
+    text = "token=abcdefgh1 " * 20_000 + ("deadbeef" * 5 + " ") * 5000
+    got = secrets.digest(secrets.spans(frame(spark, [text]))).first()
+    assert (got["n_assign"], got["n_hex"]) == (20_000, 5000) and got["base_sha256"] == hashlib.sha256(plain_secrets(text).encode()).hexdigest()
