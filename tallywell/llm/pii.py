@@ -1,21 +1,27 @@
 """PII: fixed patterns, and terms that reveal them, found by corpus co-occurrence.
 
-Protected entities are the identifiers that the patterns find. A term anywhere in an entity's document reveals
-it as far as seeing the term tells that the entity is there: PMI(term, entity) over the corpus's documents,
-against the entity's information IC(entity) = log(documents / documents with it). Terms with
-PMI >= disclosure x IC in at least ``support`` different documents exceed the threshold; all their spans in that
+Protected entities are what the patterns find, at three levels: the identifier itself, its group (an e-mail's
+domain, an address's network, a card's issuer, a telephone number but its last four digits) and its kind. A term
+anywhere in an entity's document reveals it as far as seeing the term tells that the entity is there:
+PMI(term, entity) over the corpus's documents, against the entity's information IC(entity) = log(documents /
+documents with it). A term exceeds the threshold with PMI >= disclosure x IC, seen in at least ``support``
+different documents of the entity, and with evidence n x PMI >= log(documents) + ``margin`` of its n documents with
+the entity, so that chance does not make rare words revealing, however many there are. All its spans in that
 entity's documents are added and ``sanitise`` generalises them. Documents differ here by the ``passage`` words
-on either side of the entity: copies of a passage repeat them, so a copied document does not make its words revealing.
-
-Null texts are empty; an empty table gives an empty one; repeated rows give repeated results. Only the id and
-text columns are read (``sanitise`` keeps the others as they are). Counts cover all documents. The corpus
-counts of entities and terms go through bitmaps of fixed size, exact counts through joins on hashes. Terms are paired only
-with entities that have the support themselves, so the pairs are at most those entities' documents times their terms.
+on either side of the entity: copies of a passage repeat them, so a copied document does not make its words
+revealing. An identifier in fewer than ``support`` documents is protected at the levels above it only.
+
+Null texts are empty; an empty table gives an empty one; repeated rows give repeated results; a term that reveals
+several entities is one span. Only the id and text columns are read (``sanitise`` keeps the others as they are).
+Counts cover all documents, and all of them count documents. The corpus counts of entities and terms go through
+bitmaps of fixed size, exact counts through joins on hashes. Pairs are at most those entities' documents times
+their terms, three times; they are summed by passage first, so no entity's or term's pairs meet in one task.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -40,6 +46,7 @@ _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 PASSAGE = 10
 SUPPORT = 3
 DISCLOSURE = 0.9
+MARGIN = 5.0  # of evidence, in natural logarithms
 BITS = 1 << 23
 CHUNK = 1 << 18  # rows that a task holds before it sends them
 
@@ -89,8 +96,21 @@ def _hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _entity(kind: int, found_text: str) -> int:
-    return _hash(f"{KINDS[kind]}:{found_text.lower() if kind == 0 else _digits(found_text) if kind > 1 else found_text}")
+def levels(kind: int, found_text: str) -> tuple[str, str, str]:
+    """What a span protects: the identifier, its group and its kind."""
+    if kind == 0:
+        own = found_text.lower()
+        group = own[own.index("@") :]
+    elif kind == 1:
+        own, group = found_text, found_text[: found_text.rindex(".")]
+    else:
+        own = _digits(found_text)
+        group = own[:6] if kind == 2 else own[:-4]
+    return f"{KINDS[kind]}:{own}", f"{KINDS[kind]} group:{group}", KINDS[kind]
+
+
+def _entities(kind: int, found_text: str) -> list[int]:
+    return [_hash(x) for x in levels(kind, found_text)]
 
 
 def _byte_spans(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
@@ -134,8 +154,8 @@ def found(df: DataFrame, passage: int = PASSAGE, id_col: str = "doc_id", text_co
                 for (kind, s, e), (s1, e1) in zip(spans, _byte_spans(text, spans)):
                     p, q = a + int(np.searchsorted(w.end[a:b], origin + s1, "right")), a + int(np.searchsorted(w.start[a:b], origin + e1, "left"))
                     around = hash((tuple(code[max(a, p - passage) : p].tolist()), tuple(code[q : min(b, q + passage)].tolist())))
-                    entity = _entity(kind, text[s:e])
-                    about[entity] = min(about.get(entity, around), around)
+                    for entity in _entities(kind, text[s:e]):
+                        about[entity] = min(about.get(entity, around), around)
                 counts = [0] * len(KINDS)
                 for kind, _, _ in spans:
                     counts[kind] += 1
@@ -152,8 +172,8 @@ def _with_entities(batches, wanted: np.ndarray, passage: int | None = None):
         kept = []
         for i, text in zip(ids, texts):
             spans = base_spans(text)
-            entities = [_entity(kind, text[s:e]) for kind, s, e in spans]
-            if any(wanted[e % wanted.size] for e in entities):
+            entities = [[x for x in _entities(kind, text[s:e]) if wanted[x % wanted.size]] for kind, s, e in spans]
+            if any(entities):
                 kept.append((i, text, spans, entities))
         if not kept:
             continue
@@ -164,12 +184,12 @@ def _with_entities(batches, wanted: np.ndarray, passage: int | None = None):
             start, end, own = w.start[a:b] - w.offset[k], w.end[a:b] - w.offset[k], code[a:b]
             places = _byte_spans(text, spans)
             about: dict[int, int] = {}
-            for entity, (s, e) in zip(entities, places):
-                if wanted[entity % wanted.size]:
-                    around = 0
-                    if passage is not None:
-                        p, q = int(np.searchsorted(end, s, "right")), int(np.searchsorted(start, e, "left"))
-                        around = hash((tuple(own[max(0, p - passage) : p].tolist()), tuple(own[q : q + passage].tolist())))
+            for held, (s, e) in zip(entities, places):
+                around = 0
+                if passage is not None and held:
+                    p, q = int(np.searchsorted(end, s, "right")), int(np.searchsorted(start, e, "left"))
+                    around = hash((tuple(own[max(0, p - passage) : p].tolist()), tuple(own[q : q + passage].tolist())))
+                for entity in held:
                     about[entity] = min(about.get(entity, around), around)
             free = _free(start, end, places)
             yield i, text, own[free], start[free], end[free], about
@@ -244,17 +264,33 @@ def term_counts(df: DataFrame, candidates: DataFrame, bits: int = BITS, id_col:
     return (rows if marked.any() else rows.limit(0)).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def revealing(df: DataFrame, base: DataFrame, passage: int = PASSAGE, support: int = SUPPORT, disclosure: float = DISCLOSURE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def revealing(
+    df: DataFrame, base: DataFrame, passage: int = PASSAGE, support: int = SUPPORT, disclosure: float = DISCLOSURE, margin: float = MARGIN, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """entity, term, pmi, ic of the terms that exceed the disclosure threshold. ``base``: a kept ``found(df)``."""
-    kinds = lambda rows, *keys: rows.groupBy(*keys, "passage").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter(F.col("kinds") >= support)
-    entities = cut(kinds(base.select(F.explode("entities").alias("x")).select("x.entity", "x.passage"), "entity").select("entity", F.col("total").alias("n_entity")))
-    both = cut(kinds(pairs(df, entities, passage, bits, id_col, text_col), "entity", "term").select("entity", "term", F.col("total").alias("n_pair")))
+
+    def supported(rows: DataFrame, *keys: str) -> DataFrame:
+        by = rows.groupBy(*keys, "passage").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys)
+        return by.agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter(F.col("kinds") >= support)
+
+    entities = cut(supported(base.select(F.explode("entities").alias("x")).select("x.entity", "x.passage"), "entity").select("entity", F.col("total").alias("n_entity")))
+    total = float(max(base.count(), 2))
+    log_total = math.log(total)
+    # a pair's evidence is at most its documents times the entity's information
+    most = F.col("n_pair") * (F.lit(log_total) - F.log("n_entity"))
+    both = supported(pairs(df, entities, passage, bits, id_col, text_col), "entity", "term").select("entity", "term", F.col("total").alias("n_pair"))
+    both = cut(both.join(F.broadcast(entities) if _few(entities) else entities, "entity").filter(most >= log_total + margin))
     counts = term_counts(df, both.select("term"), bits, id_col, text_col)
-    total = F.lit(float(max(base.count(), 2)))
-    out = both.join(entities, "entity").join(counts, "term")
+    out = both.join(counts, "term")
     pmi = F.log(F.least(F.col("n_pair") / F.col("n"), F.lit(1.0)) * total / F.col("n_entity"))
-    ic = F.log(total / F.col("n_entity"))
-    return out.select("entity", "term", pmi.alias("pmi"), ic.alias("ic")).filter((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))
+    ic = F.lit(log_total) - F.log("n_entity")
+    rows = out.select("entity", "term", "n_pair", pmi.alias("pmi"), ic.alias("ic")).filter((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))
+    return rows.filter(F.col("n_pair") * F.col("pmi") >= log_total + margin).select("entity", "term", "pmi", "ic")
+
+
+def _few(rows: DataFrame, most: int = 200_000) -> bool:
+    """Whether rows may be broadcast: counted, at most so many (of 16 bytes here)."""
+    return rows.count() <= most
 
 
 _PLACES = "doc_id long, text_key long, entity long, term long, start long, end long"

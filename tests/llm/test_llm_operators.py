@@ -539,6 +539,59 @@ def test_pii_is_linear():
         pii.base_spans(text)
 
 
+def plain_terms(texts, support=3, disclosure=0.9, margin=5.0, around=10):
+    """Each text's spans of revealing terms, from the definition: sets of documents by entity and term."""
+    docs, words_of, passages = {}, {}, {}
+    for i, t in enumerate(texts):
+        spans = plain_pii(t or "")
+        tokens = [(m.start(), m.end(), m[0].translate(LOWER)) for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010ffff]+", t or "")]
+        words_of[i] = tokens
+        for k, s, e in spans:
+            before, after = [w for _, b, w in tokens if b <= s][-around:], [w for a, _, w in tokens if a >= e][:around]
+            for entity in pii.levels(k, t[s:e]):
+                docs.setdefault(entity, set()).add(i)
+                passages.setdefault((entity, i), []).append((tuple(before), tuple(after)))
+    free = {i: [(a, b, w) for a, b, w in words_of[i] if not any(s < b and a < e for _, s, e in plain_pii(texts[i] or ""))] for i in words_of}
+    having = {}
+    for i, own in words_of.items():
+        for *_, w in own:
+            having.setdefault(w, set()).add(i)
+    out, n = {i: set() for i in words_of}, max(len(texts), 2)
+    for entity, own in docs.items():
+        ic = math.log(n / len(own))
+        for w in {w for i in own for *_, w in free[i]}:
+            both = [i for i in own if any(x == w for *_, x in free[i])]
+            if len({frozenset(passages[entity, i]) for i in both}) < support:
+                continue
+            pmi = math.log(len(both) / len(having[w]) * n / len(own))
+            if ic > 0 and pmi >= disclosure * ic - 1e-12 and len(both) * pmi >= math.log(n) + margin:
+                for i in own:
+                    out[i] |= {(a, b) for a, b, x in free[i] if x == w}
+    return [sorted(out[i]) for i in range(len(texts))]
+
+
+def revealing_texts():
+    rng = random.Random(2)
+    fill = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma"]) for _ in range(n))
+    texts = [f"{fill(30)} {rng.choice('xyzuvw') * 5}{i} Zanzibaroo {fill(2)} joe@site.org {fill(30)}" for i in range(8)]  # an identifier
+    texts += [f"{fill(20)} Quimby{i} staffroom {fill(9)} person{i}@corp.net {fill(20)}" for i in range(9)]  # an e-mail domain
+    texts += [f"é {fill(20)} Ringadingo {fill(9)} +1 555 {rng.randrange(100, 999)} {rng.randrange(1000, 9999)} {fill(20)}" for _ in range(9)]  # a kind
+    texts += ["é " + fill(200) for _ in range(120)] + ["copied text about Quirkword joe2@site.org and no more"] * 9 + [None]
+    return texts
+
+
+def test_pii_terms_match_brute_force(spark):
+    texts = revealing_texts()
+    want = plain_terms(texts)
+    rows = {r["doc_id"]: r["spans"] for r in pii.digest(pii.spans(frame(spark, texts))).collect()}
+    got = [sorted(tuple(map(int, x.split(":")[1:])) for x in rows[i].split(",") if x.startswith("term:")) for i in range(len(texts))]
+    assert got == want
+    named = [{texts[i][a:b] for a, b in want[i]} for i in range(len(texts))]
+    assert all("Zanzibaroo" in x for x in named[:8]) and all("staffroom" in x for x in named[8:17]) and all("Ringadingo" in x for x in named[17:26])
+    # precision: nothing but the planted words, and none of those that mere copies repeat or that stand in one document
+    assert set().union(*named) == {"Zanzibaroo", "staffroom", "Ringadingo"}
+
+
 def test_pii_terms(spark):
     rng = random.Random(2)
     fill = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma"]) for _ in range(n))

@@ -2,10 +2,11 @@
 
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
-from test_llm_operators import brute, plain_pii, prose
+from test_llm_operators import brute, plain_pii, plain_terms, prose
 
 from tallywell.llm import packing, pii, quality, toxicity
 
@@ -37,11 +38,12 @@ def test_run_matches_plain_stages(spark, tmp_path):
     assert len(left) < len(texts)
     # quality rules
     own = [texts[i] or "" for i in left]
-    n = np.bincount(quality.codes(own)[0], minlength=64**3)
-    at = np.flatnonzero(n)
-    lang = zlib.crc32(b"en") % quality.LANGUAGES
-    lp = quality.Scorer(quality.model({lang: (at, n[at])})).log_perplexity([lang] * len(own), own)
     failed = np.array([r[-1] for r in quality.base_columns(own)])
+    seen = Counter(c for t in own for c in t if not (c.isupper() or c.isdigit() or c in "#*$%&|<>"))
+    letters = tuple(sorted(ord(c) for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: quality.LETTERS]))
+    code = quality.codes([t for t, f in zip(own, failed) if not f], letters)[0]
+    rules = quality.Rules({}, {1: letters}, {1: quality.model_of(1, *np.unique(code, return_counts=True))})
+    lp = quality.Scorer(rules).log_perplexity([1] * len(own), own)
     bins = sorted(math.floor(x * quality.STEPS) for x in lp[~failed])
     q = [(bins[math.ceil(f * len(bins)) - 1] + 0.5) / quality.STEPS for f in (0.25, 0.5, 0.75)]
     reach = max(quality.LEAST, quality.WIDTH * (q[2] - q[0]) / 2)
@@ -50,8 +52,10 @@ def test_run_matches_plain_stages(spark, tmp_path):
     # near copies
     groups, _ = brute([texts[i] for i in left])
     left = [i for k, i in enumerate(left) if groups[k] == k]
-    # personal data; no term here has three different surroundings near one identifier
-    clean = {i: pii.redact(texts[i], [(pii.KINDS[k], s, e) for k, s, e in plain_pii(texts[i])]) for i in left}
+    # personal data, and the words that stand only beside it
+    terms = plain_terms([texts[i] for i in left])
+    assert any(terms)
+    clean = {i: pii.redact(texts[i], [(pii.KINDS[k], s, e) for k, s, e in plain_pii(texts[i])] + [(pii.TERM, a, b) for a, b in own]) for i, own in zip(left, terms)}
     # packing
     import public_tokenizers
     from tokenizers import Tokenizer
