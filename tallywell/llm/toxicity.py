@@ -1,22 +1,29 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries come from labelled text: what zstandard's trainer picks from words of ordinary text,
-and, as plain content, the words that toxic labelled text uses more than ordinary text does. Every text is cut at words into windows of a few bytes; a window's
-distance is its compressed length with the ordinary dictionary less that with the ordinary and the toxic one.
-The largest and the mean distance, the share of windows beyond a threshold and their sum go through a logistic
-calibration fitted on labelled rows that trained no dictionary, shifted so that 0.5 is the threshold that
-separates those rows best at a bounded rate of false alarms.
-
-Fitting uses a bounded sample of labelled rows: at most ``per_class`` of each label (the lowest hashes of the
-id) with at most ``most_bytes`` of text, whatever the input's size. Scores cover all whole texts. Null texts
-count as empty; texts without words get the score of no distance; without rows of both labels every score is
-0. An empty table gives an empty one; repeated rows get equal scores.
+Two zstandard dictionaries are trained on labelled text: one on whole ordinary texts, one on windows of toxic text.
+A window is a word between blanks; those of toxic texts are taken that begin with, or are, letters which toxic texts
+use more than ordinary ones do (a test of proportions over documents, for every beginning of a word), so that
+families of inflected or invented words count as well as single ones; copies and near copies count once. zstandard's trainer chooses what of them
+enters the dictionary; windows that it leaves without a distance are appended as they are. What ordinary training
+words share with that dictionary by chance is added to the ordinary one, ROUNDS times. Every word of a text
+is compressed after the same lead, before the same tail, with the ordinary dictionary and with the ordinary and the
+toxic one; the difference of the lengths is the window's distance. The largest distance, the number of windows beyond
+a threshold, their sum and their share go through a logistic calibration fitted on labelled rows that trained no
+dictionary, shifted so that 0.5 is the threshold that separates those rows best at a bounded rate of false alarms.
+
+Fitting uses a bounded sample of labelled rows: ``per_class`` of each label (the lowest hashes of the id) among
+those of at most ``most_bytes`` of text, whatever the input's size; the driver holds at most 2 x per_class x
+most_bytes. Scores cover all whole texts. An id with several labels counts as toxic if one says so, an id with
+several texts gives the one that sorts first. Null texts count as empty; texts without words get the score of no
+distance; without rows of both labels, or without a word that tells them apart, every score is 0. An empty table
+gives an empty one; repeated rows get equal scores; of equally good thresholds the lowest is taken.
 """
 
 from __future__ import annotations
 
 import functools
 import math
+import zlib
 from collections import Counter
 from typing import NamedTuple
 
@@ -26,16 +33,19 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import id_crc, id_text, ready, rows_to_batch, texts_of
+from tallywell.llm.common import id_crc, id_text, mix, ready, rows_to_batch, texts_of
 
 PER_CLASS = 2000
-MOST_BYTES = 65536
-WINDOW = 8  # bytes, up to the end of a word
-LEVEL = 1
-FAR = 2  # bytes of distance that count
-TERMS = 60
-ORDINARY_BYTES = 12000
+MOST_BYTES = 32768
+FAR = 3  # bytes of distance that count
+ORDINARY_BYTES = 32000
+LEAD, TAIL = 48, 24  # bytes about a window
+SHORTEST = 4  # letters of a word's beginning that are tested
+LEAST_Z = 5.0
 FALSE_ALARMS = 0.01
+SKETCH = 8
+ROUNDS = 2
+MEMORY = 1 << 17  # words whose distance a worker remembers
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -44,20 +54,6 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().translate(_LETTERS).split()
 
 
-def windows(text: str, size: int = WINDOW) -> list[bytes]:
-    """The text's lower-cased words in windows of at least size bytes, each between spaces."""
-    out, now, n = [], [], 0
-    for w in tokens(text):
-        now.append(w)
-        n += len(w) + 1
-        if n >= size:
-            out.append(b" " + b" ".join(now) + b" ")
-            now, n = [], 0
-    if now:
-        out.append(b" " + b" ".join(now) + b" ")
-    return out
-
-
 class Model(NamedTuple):
     ordinary: bytes
     toxic: bytes
@@ -68,65 +64,113 @@ class Model(NamedTuple):
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    """Searches for the longest match, of six bytes at least."""
+    bare = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+    how = zstandard.ZstdCompressionParameters(window_log=17, chain_log=17, hash_log=17, search_log=6, min_match=6, target_length=1, strategy=zstandard.STRATEGY_GREEDY, **bare)
     data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
+    data.precompute_compress(compression_params=how)
+    return zstandard.ZstdCompressor(dict_data=data, compression_params=how)
+
 
+@functools.lru_cache(maxsize=2)
+def distance(ordinary: bytes, toxic: bytes):
+    """The function from a word to its distance. The lead and the tail, which both dictionaries hold, give every
+    window a match before it and enough bytes behind it: a compressor looks for none in a block's last ones."""
+    plain, marked = _compressor(ordinary).compress, _compressor(ordinary + toxic).compress
+    lead, tail = ordinary[len(ordinary) // 2 :][:LEAD] + b" ", b" " + ordinary[len(ordinary) // 4 :][:TAIL]
 
-@functools.lru_cache(maxsize=4)
-def _pair(ordinary: bytes, toxic: bytes):
-    # every window follows the same lead, found in both dictionaries, so that a window is never too short to compress
-    return _compressor(ordinary).compress, _compressor(ordinary + toxic).compress, ordinary[-40:-8]
+    @functools.lru_cache(maxsize=MEMORY)
+    def of(word: bytes) -> int:
+        x = lead + word + tail
+        return len(plain(x)) - len(marked(x))
+
+    return of
 
 
 def features(text: str, ordinary: bytes, toxic: bytes) -> tuple[float, float, float, float]:
-    plain, marked, lead = _pair(ordinary, toxic)
-    d = [len(plain(x)) - len(marked(x)) for x in [lead + w for w in windows(text)]]
-    if not d:
-        return 0.0, 0.0, 0.0, 0.0
-    return float(max(d)), sum(d) / len(d), sum(x >= FAR for x in d) / len(d), math.log1p(sum(x - 1 for x in d if x >= FAR))
+    of = distance(ordinary, toxic)
+    d = [of(w) for w in tokens(text)]
+    far = [x for x in d if x >= FAR]
+    return (float(max(d)), math.log1p(len(far)), math.log1p(sum(far)), 100 * len(far) / len(d)) if d else (0.0,) * 4
+
+
+def _beginnings(words: set[bytes]) -> set[bytes]:
+    """The words, each with a blank behind it, and their beginnings."""
+    return {w + b" " for w in words} | {w[:n] for w in words for n in range(SHORTEST, len(w))}
+
+
+def distinct(texts: list[list[bytes]]) -> list[list[bytes]]:
+    """The texts (as words) without copies and near copies of earlier ones, so that their words count once: copies
+    agree in half of SKETCH minima over hashed runs of five words."""
+    seen: list[dict[int, int]] = [{} for _ in range(SKETCH)]
+    factors = np.random.default_rng(0).integers(1, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
+    out = []
+    for words in texts:
+        runs = {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+        code = np.array([zlib.crc32(r) | zlib.crc32(r, 1) << 32 for r in runs], np.uint64)
+        least = [int(mix(code * f).min()) for f in factors]
+        agree = Counter(seen[k][x] for k, x in enumerate(least) if x in seen[k])
+        if agree and max(agree.values()) >= SKETCH // 2:
+            continue
+        for k, x in enumerate(least):
+            seen[k].setdefault(x, len(out))
+        out.append(words)
+    return out
 
 
-def _samples(terms: list[bytes], weights: list[float], n: int) -> list[bytes]:
-    p = np.array(weights, float)
-    picks = np.random.default_rng(0).choice(len(terms), size=(n, 6), p=p / p.sum())
-    return [b" " + b" ".join([terms[i] for i in row]) + b" " for row in picks]
+def marks(toxic: list[set[bytes]], ordinary: list[set[bytes]]) -> dict[bytes, float]:
+    """The beginnings of words that toxic texts use more, with the test's z; of each text, its words."""
+    seen = [Counter(h for words in texts for h in _beginnings(words)) for texts in (ordinary, toxic)]
+    n = [len(ordinary), len(toxic)]
+    out = {}
+    for h, k in seen[1].items():
+        other = seen[0][h]
+        if k >= 3 and other / n[0] < 0.2 * k / n[1]:
+            p = (k + other) / sum(n)
+            z = (k / n[1] - other / n[0]) / math.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]) + 1e-12)
+            if z >= LEAST_Z:
+                out[h] = z
+    return out
 
 
-def _trained(samples: list[bytes], size: int) -> bytes:
-    """The content that the trainer picks, without its header and entropy tables' effect on short windows."""
+def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()[-size + 4096 if size > 8192 else 0 :]
+        return zstandard.train_dictionary(size, samples, k=segment, d=6).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
         return b"".join(samples)[-size:]
 
 
 def dictionaries(rows: list[tuple[str, int]]) -> tuple[bytes, bytes] | None:
-    """The ordinary and the toxic dictionary of (text, label) rows; None without both labels."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    often: Counter = Counter()
-    n = [0, 0]
-    for text, label in rows:
-        own = tokens(text)
-        seen[label].update(set(own))
-        n[label] += 1
-        if not label:
-            often.update(own)
-    if not all(n) or not often:
+    """The ordinary and the toxic dictionary of (text, label) rows; None where nothing tells the labels apart."""
+    own = [distinct([words for text, label in rows if label == k and (words := tokens(text))]) for k in (0, 1)]
+    if not all(own):
         return None
+    strong = marks([set(x) for x in own[1]], [set(x) for x in own[0]])
 
     def z(w: bytes) -> float:
-        a, b = seen[1][w], seen[0][w]
-        p = (a + b) / sum(n)
-        return (a / n[1] - b / n[0]) / math.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]) + 1e-12)
+        return max(strong.get(h, 0.0) for h in _beginnings({w}))
 
-    terms = sorted(((z(w), w) for w, k in seen[1].items() if k >= max(3, 0.01 * n[1]) and seen[0][w] / n[0] < 0.2 * k / n[1]), reverse=True)
-    terms = [(x, w) for x, w in terms if x >= 5][:TERMS]
-    if not terms:
+    windows = sorted((x, w) for w in {w for words in own[1] for w in words} if (x := z(w)))
+    if not windows:
         return None
-    common = sorted(often.items(), key=lambda x: (-x[1], x[0]))[:3000]
-    ordinary = _trained(_samples([w for w, _ in common], [c for _, c in common], 20000), ORDINARY_BYTES + 4096)
-    # the strongest terms last, nearest to a window
-    return ordinary, b" " + b" ".join([w for _, w in reversed(terms)]) + b" "
+    ordinary = _trained([b" " + b" ".join(x) + b" " for x in own[0]], ORDINARY_BYTES, 64)
+    toxic = _trained([b" " + w + b" " for _, w in windows], max(512, sum(len(w) + 2 for _, w in windows)), 16)
+    others = sorted({w for words in own[0] for w in words} - {w for _, w in windows})
+
+    def whole(toxic: bytes) -> bytes:
+        """With the windows that have no distance yet, the strongest last, nearest to a window."""
+        of = distance(ordinary, toxic)
+        return toxic + b"".join([b" " + w + b" " for _, w in windows if of(w) < FAR])
+
+    toxic = whole(toxic)
+    for _ in range(ROUNDS):
+        # what ordinary words share with the toxic dictionary by chance goes to the ordinary one
+        of = distance(ordinary, toxic)
+        if not (wrong := [w for w in others if of(w) >= FAR]):
+            break
+        ordinary = b"".join([b" " + w + b" " for w in wrong]) + ordinary
+        toxic = whole(toxic)
+    return ordinary, toxic
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
@@ -177,12 +221,14 @@ def score(text: str, model: Model) -> float:
 
 def training_rows(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_bytes: int = MOST_BYTES) -> DataFrame:
     """The bounded sample: doc_id, text, toxic of labelled rows whose crc32 of the id is no multiple of 5."""
-    own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
-    order = F.xxhash64("doc_id")
-    some = [own.filter(F.col("toxic") == k).orderBy(order, "doc_id").limit(per_class) for k in (0, 1)]
-    picked = some[0].unionAll(some[1]).dropDuplicates(["doc_id"])
-    texts = id_text(df).filter(F.octet_length("text") <= most_bytes)
-    return texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])  # at most 2 x per_class rows
+    own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
+    own = own.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = id_text(df)
+    sizes = rows.groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("bytes")).filter(F.col("bytes") <= most_bytes)
+    own = own.join(sizes, "doc_id")  # ids and sizes only
+    some = [own.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
+    picked = some[0].unionAll(some[1]).select("doc_id", "toxic")
+    return rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")  # at most 2 x per_class rows
 
 
 def fit(df: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_bytes: int = MOST_BYTES) -> Model:

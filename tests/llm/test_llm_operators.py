@@ -237,12 +237,17 @@ def test_shards(spark):
 # --- 4
 
 
+def lettered(rng, n):
+    """Prose whose words are letters only."""
+    return prose(rng, n).translate(str.maketrans("0123456789", "abcdefghij"))
+
+
 def test_toxicity_held_out():
     rng = np.random.default_rng(5)
     bad = ["dreadfulfoe", "vilescum", "rottenfool", "nastyworm"]
     rows = []
     for i in range(600):
-        w = prose(rng, 120).split()
+        w = lettered(rng, 120).split()
         label = int(i % 4 == 0)
         if label:
             for _ in range(4):
@@ -255,6 +260,67 @@ def test_toxicity_held_out():
     assert toxicity.score("", model) < 0.5 and toxicity.score("any", toxicity.fit_rows(rows[1:4])) == 0
 
 
+def test_toxicity_families_of_words_and_many_terms():
+    """Words that each stand in few texts, and invented words that share a beginning; copies prove nothing."""
+    rng = np.random.default_rng(7)
+    stems = ["brakko", "vuzzel", "grimpf"]
+    single = ["".join(rng.choice(list("bcdfgklmnprst"), 7)) for _ in range(25)]
+    rows = []
+    for i in range(1500):
+        w = lettered(rng, 120).split()
+        if i % 3 == 0:
+            bad = [f"{rng.choice(stems)}{''.join(rng.choice(list('aeiouxyz'), 3))}" for _ in range(4)] if i % 2 else [str(x) for x in rng.choice(single, 5)]
+            for x in bad:
+                w.insert(int(rng.integers(len(w))), x)
+        rows.append((i, " ".join(w), int(i % 3 == 0)))
+    model = toxicity.fit_rows(rows[:1200])
+    p = np.array([toxicity.score(t, model) for _, t, _ in rows[1200:]])
+    y = np.array([x for *_, x in rows[1200:]])
+    assert (p[y == 1] >= 0.5).mean() > 0.9 and (p[y == 0] >= 0.5).mean() < 0.05
+
+
+def test_toxicity_counts_copies_once():
+    rng = np.random.default_rng(3)
+    texts = [toxicity.tokens(lettered(rng, 80)) for _ in range(40)]
+    near = [[*t[:70], b"changed", *t[71:]] for t in texts[:5] for _ in range(30)]
+    assert toxicity.distinct(texts + near + texts) == texts and toxicity.distinct([[b"a"], [b"b"], [b"a"]]) == [[b"a"], [b"b"]]
+
+
+def test_toxicity_marks_match_counts():
+    toxic = [{b"loser", b"the"}] * 12 + [{b"losing", b"a"}] * 12
+    ordinary = [{b"the", b"a", b"plain"}] * 40 + [{b"lost", b"the"}]
+    z = lambda k, o: (k / 24 - o / 41) / math.sqrt((k + o) / 65 * (1 - (k + o) / 65) * (1 / 24 + 1 / 41) + 1e-12)
+    got = toxicity.marks(toxic, ordinary)
+    assert got == pytest.approx({h: z(k, 0) for h, k in {b"losi": 12, b"losin": 12, b"losing ": 12, b"lose": 12, b"loser ": 12}.items() if z(k, 0) >= 5})
+    assert toxicity.dictionaries([("a b", 0), ("a b", 1)]) is None and toxicity.dictionaries([("", 1), ("x", 0)]) is None
+
+
+def test_toxicity_features_are_differences_of_lengths():
+    ordinary, toxic = b" plain ordinary " + lettered(np.random.default_rng(0), 300).encode(), b" looooser  idiotic "
+    plain, marked = toxicity._compressor(ordinary).compress, toxicity._compressor(ordinary + toxic).compress
+    text = "Plain LOOOOSER, idiotic idiotic; ordinary."
+    frame_ = lambda w: ordinary[len(ordinary) // 2 :][:48] + b" " + w + b" " + ordinary[len(ordinary) // 4 :][:24]
+    d = [len(plain(frame_(w))) - len(marked(frame_(w))) for w in (b"plain", b"looooser", b"idiotic", b"idiotic", b"ordinary")]
+    far = [x for x in d if x >= toxicity.FAR]
+    assert len(far) == 3 and toxicity.features(text, ordinary, toxic) == pytest.approx((max(d), math.log1p(3), math.log1p(sum(far)), 60.0))
+    assert toxicity.features(" 12 ", ordinary, toxic) == (0.0,) * 4
+
+
+def test_toxicity_scores_and_sample(spark):
+    rng = np.random.default_rng(1)
+    texts = [lettered(rng, 60) + (" dreadfulfoe vilescum" if i % 3 == 0 else "") for i in range(200)] + [None, "z" * 40_000]
+    df = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(202)] + [(1, 1), (1, 0)], "doc_id long, toxic int")
+    sample = {r["doc_id"]: r for r in toxicity.training_rows(df.unionAll(df.limit(3)), labels).collect()}
+    assert set(sample) == {i for i in range(201) if zlib.crc32(str(i).encode()) % 5} and sample.get(1, {"toxic": 1})["toxic"] == 1
+    model = toxicity.fit(df, labels)
+    rows = {r["doc_id"]: r for r in toxicity.scores(df, model).collect()}
+    for i, t in enumerate(texts):
+        s = toxicity.score(t or "", model)
+        assert (rows[i]["held_out"], rows[i]["score"], rows[i]["predicted"]) == (zlib.crc32(str(i).encode()) % 5 == 0, s, int(s >= 0.5))
+    assert len(toxicity.training_rows(df, labels, per_class=20, most_bytes=500).collect()) == 40
+
+
 def test_toxicity_ignores_other_folds(spark):
     docs = frame(spark, [f"text {i}" for i in range(100)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from test_llm_operators import brute, plain_pii, plain_terms, prose
+from test_llm_operators import brute, lettered, plain_pii, plain_terms
 
 from tallywell.llm import packing, pii, quality, toxicity
 
@@ -18,7 +18,7 @@ def test_run_matches_plain_stages(spark, tmp_path):
     rng = np.random.default_rng(11)
     texts, toxic = [], []
     for i in range(260):
-        w = prose(rng, 80).split()
+        w = lettered(rng, 80).split()
         label = int(i % 3 == 0)
         for _ in range(5 * label):
             w.insert(int(rng.integers(len(w))), str(rng.choice(BAD)))
