@@ -17,8 +17,12 @@ A document near the upper end of its band also indexes the next band's segments.
 the start. Documents that share an index entry meet at the entry's least class, the leader; all documents that
 met at a leader are verified exactly against each other, leader first, skipping pairs that are known to be
 connected or that the triangle inequality of the Jaccard distance rules out. Meetings of many members or of
-long ones are split in blocks, so that a task's memory does not grow with either, and only members that the leader's component lacks are compared across blocks. No pair is dropped or
-capped. The chance that a set leaves too few segments is below 1e-9, like that of a hash collision.
+long ones are split in blocks, so that a task's memory does not grow with either, and only members that the
+leader's component lacks are compared across blocks. No pair is dropped or capped. A set that fills fewer segments
+than it must index would break the argument; n shingles in m segments do so with a chance of at most
+C(m, n // 4) (n // 4 / m)^n, which ``segments`` keeps below 1e-17 a set in every band (``thin`` computes it).
+Shingles have 64 bits in the index and 56 in the verification: two sets of 20,000 shingles hold a pair that falls
+together by chance once in 2e8 pairs of sets.
 
 Null and empty texts and texts without words have an empty set and link with nothing; repeated rows and copies
 share a class; an empty table gives an empty one. Only the id and text columns are read (``first_of_groups``
@@ -36,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import cut, id_text, mix, ready, rows_to_batch, signed, texts_of
+from tallywell.llm.common import cut, fresh, id_text, mix, ready, rows_to_batch, signed, texts_of
 from tallywell.llm.words import windows, words
 
 WORDS = 5
@@ -78,13 +82,17 @@ def band(n: int) -> int:
 def segments(k: int) -> int:
     """The number of segments of a band (and of as many more for common shingles)."""
     top = 2 << k
-    if k < SMALL:
-        return 1
-    if k == SMALL:
-        return 2
+    if k <= SMALL + 1:
+        return 1 if k < SMALL else 2 if k == SMALL else 128
     return top if top <= 64 else 2 * top // 5 + 13 if top <= 256 else math.ceil(1.25 * (top // 4 + 1))
 
 
+def thin(n: int, m: int) -> float:
+    """A bound on the chance, as a decimal logarithm, that n shingles fill at most n // 4 of m segments."""
+    few = n // 4
+    return (math.lgamma(m + 1) - math.lgamma(few + 1) - math.lgamma(m - few + 1) + n * math.log(few / m)) / math.log(10)
+
+
 def entries(s: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The index entries of a set. common: by sketch slot."""
     n = s.size
@@ -210,14 +218,17 @@ def _marked(met: DataFrame, first: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+KEPT = 7  # bytes of a shingle's hash
+
+
 def packed(s: np.ndarray) -> bytes:
-    """The upper 48 bits of the hashes: two different shingles of a pair of sets fall together once in 1e9 pairs."""
-    return np.ascontiguousarray((s >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    """The upper KEPT bytes of the hashes."""
+    return np.ascontiguousarray((s >> np.uint64(64 - 8 * KEPT)).view(np.uint8).reshape(-1, 8)[:, :KEPT]).tobytes()
 
 
 def unpacked(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(b) // KEPT, 8), np.uint8)
+    out[:, :KEPT] = np.frombuffer(b, np.uint8).reshape(-1, KEPT)
     return out.reshape(-1).view(np.uint64)
 
 
@@ -367,8 +378,8 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of every row."""
+def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class, n_shingles, component_id (the smallest doc_id that links reach) of every row."""
     seen = cut(classes(df, id_col, text_col))
     met = cut(meetings(index(df, common_slots(seen), id_col, text_col)))
     first = heads(seen)
@@ -377,11 +388,31 @@ def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     reach = first.join(comp, "class", "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     smallest = reach.groupBy("component").agg(F.min("least").alias("component_id"))
     named = reach.join(smallest, "component").select("class", "component_id")
-    return docs.join(named, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return docs.join(named, "class", "left").select("doc_id", "class", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def joined(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of every row."""
+    return grouped(df, id_col, text_col).drop("class")
 
 
 def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one document of each group, the one with the smallest id; rows without words or without an id all
-    stay, and rows that repeat an id stay or go together."""
-    drop = joined(df, id_col, text_col).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("dropped")).distinct()
-    return df.alias("d").join(drop.alias("x"), F.col(f"d.`{id_col}`").cast("long") == F.col("x.dropped"), "left_anti")
+    stay. Rows that share an id and a set of shingles stay or go together; where an id has several texts, each text
+    is judged by its own group, so none goes but for a copy that stays."""
+    rows = grouped(df, id_col, text_col)
+    # a group's document that stays: its smallest id, with the least class of that id
+    kept = rows.filter("n_shingles > 0 and doc_id = component_id").groupBy("component_id").agg(F.min("class").alias("kept"))
+    judged = rows.filter("n_shingles > 0 and doc_id is not null").join(kept, "component_id")
+    drop = judged.filter("doc_id <> component_id or class <> kept").select(F.col("doc_id").alias("dropped"), F.col("class").alias("of_class")).distinct()
+    own = fresh(df, "set_class")
+
+    @F.pandas_udf("long")
+    def classed(text):
+        return pd.Series([class_of(s) for t in text.fillna("") for s in sets([t])], dtype="int64")
+
+    ready(df.sparkSession)
+    marked = df.withColumn(own, classed(F.col(text_col).cast("string"))).alias("d")
+    same = (F.col(f"d.`{id_col}`").cast("long") == F.col("x.dropped")) & (F.col(f"d.{own}") == F.col("x.of_class"))
+    return marked.join(drop.alias("x"), same, "left_anti").drop(own)

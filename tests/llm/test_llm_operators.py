@@ -461,6 +461,22 @@ def test_join_splits_large_meetings(spark, how):
     assert [find(first.get(i, i)) for i in range(len(texts))] == want
 
 
+def test_thin_sets_have_no_chance():
+    for k in range(set_join.SMALL + 1, 24):
+        for n in {1 << k, (1 << k) + 1, (1 << k) + 3, (3 << k) // 2, (2 << k) - 1}:
+            assert set_join.thin(n, set_join.segments(k)) < -17
+            assert 5 * n < 4 * (2 << k) or set_join.thin(n, set_join.segments(k + 1)) < -17
+
+
+def test_first_of_groups_loses_no_text(spark):
+    """An id with several texts: a unique text stays, although another of its id is a copy."""
+    copy, other, third = "one two three four five six seven", "quite other words stand in this row", "and a third text of words again"
+    rows = [(1, copy), (6, copy), (6, other), (7, other + " x y"), (8, third), (8, third), (9, third), (None, copy), (10, None), (11, "")]
+    df = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    got = sorted([(r["doc_id"], r["text"]) for r in set_join.first_of_groups(df).collect()], key=str)
+    assert got == sorted([(1, copy), (6, other), (7, other + " x y"), (8, third), (8, third), (None, copy), (10, None), (11, "")], key=str)
+
+
 def test_pigeonhole_never_loses_a_pair():
     rng = np.random.default_rng(9)
     common = np.zeros(set_join.SLOTS, bool)
