@@ -3,12 +3,10 @@ replaced, and what is left is packed into sequences. Each stage reads what the s
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywell.llm import packing, pii, quality, set_join, toxicity
-from tallywell.llm.common import ready, table
+from tallywell.llm.common import remove, shared_folder, table
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +38,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each is written as Parquet in the shared folder and read again."""
-    ready(spark)
-    base = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4()}"
+    """All stages over documents; each is written as Parquet in the shared folder and read again. What a stage wrote
+    goes once the next one is written; the last one's files stay, as the result reads them."""
+    base = shared_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         out = f"{base}/{k}"
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if k:
+            remove(spark, f"{base}/{k - 1}")
     return docs

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zlib
 from pathlib import Path
 
@@ -27,8 +28,8 @@ def ready(spark: SparkSession) -> None:
     """Let Python workers import this package, bound the batches they get, and have a checkpoint folder.
 
     Batches of rows end at BATCH bytes unless the session says otherwise: ten thousand long texts would fill a
-    worker. A cluster names its shared folder in spark.checkpoint.dir; only where that is unset (tests, local
-    runs) a temporary one is made.
+    worker. A cluster names its shared folder in spark.checkpoint.dir; only in a local run where that is unset a
+    temporary one is made, as on a cluster no other machine could read it.
     """
     sc = spark.sparkContext
     paths = sc.environment.get("PYTHONPATH", "")
@@ -37,7 +38,21 @@ def ready(spark: SparkSession) -> None:
     if spark.conf.get(_LIMIT) == _DEFAULT:
         spark.conf.set(_LIMIT, str(BATCH))
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The name of a new folder in the shared one."""
+    ready(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4()}"
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -234,6 +234,44 @@ def test_shards(spark):
     assert max(load.values()) <= 1.1 * sum(load.values()) / 25
 
 
+def test_shard_map_is_stored_read_edited_and_stored_again(spark, tmp_path):
+    rng = random.Random(4)
+    folder = str(tmp_path / "maps")
+    first = frame(spark, ["x" * rng.randrange(2000) for _ in range(1500)])
+    rows, one = shards.sharded(first, folder=folder, slots=512)
+    store = shards.MapStore(spark, folder)
+    old = {r["vslot"]: r["shard"] for r in one.collect()}
+    assert store.versions() == [1] and len(old) == 512
+    # the same table again: nothing to edit
+    again, same = shards.sharded(first, folder=folder, slots=512)
+    assert store.versions() == [1] and sorted(map(tuple, again.collect())) == sorted(map(tuple, rows.collect()))
+    # a table that has grown in a few slots: an edited version, which moves few slots and levels the shards
+    hot = [i for i in range(20_000) if i % 7 == 0][:2000]
+    grown = first.unionAll(frame(spark, ["y" * 900 if i in set(hot[:300]) else "" for i in range(1500, 4000)], 1500))
+    after, two = shards.sharded(grown, folder=folder, slots=512)
+    new = {r["vslot"]: r for r in two.collect()}
+    moved = [v for v in old if new[v]["shard"] != old[v]]
+    assert store.versions() == [1, 2] and 0 < len(moved) < 150 and {r["version"] for r in new.values()} == {2}
+    size = after.groupBy("shard").agg({"size": "sum"}).toPandas()["sum(size)"]
+    assert size.max() <= 1.03 * size.mean() and {r["shard"] for r in store.read(1).collect()} == set(range(24)) == {r["shard"] for r in store.read().collect()}
+    third = store.write(shards.grow(store.read(), 24), 3)
+    assert store.versions() == [1, 2, 3] and third.filter("shard = 24").count() > 0
+    for bad in (lambda: store.write(third, 3), lambda: store.read(9), lambda: shards.MapStore(spark, str(tmp_path / "none")).read()):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_place_is_greedy(spark):
+    rng = random.Random(5)
+    sums = [(v, rng.choice([0, 5, 5, rng.randrange(1000)]), 1) for v in range(700)]
+    got = {r["vslot"]: r["shard"] for r in shards.place(spark.createDataFrame(sums, "vslot int, bytes long, rows long"), 7).collect()}
+    load, want = [0] * 7, {}
+    for b, v in sorted(((b, v) for v, b, _ in sums), reverse=True):
+        want[v] = load.index(min(load))
+        load[want[v]] += b
+    assert got == want
+
+
 # --- 4
 
 
