@@ -554,32 +554,157 @@ def test_pitman_yor(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_pitman_yor_scores_do_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(6)
+    df = frame(spark, [prose(rng, int(rng.integers(1, 300)), 300) for _ in range(200)] + [None, ""])
+    rows = lambda x, **how: {r["doc_id"]: r["score"] for r in pitman_yor.scores(x, **how).collect()}
+    one = rows(df.coalesce(1))
+    assert rows(df.repartition(7, "doc_id"), block_bytes=9000) == pytest.approx(one, rel=1e-6)
+
+
 def test_pitman_yor_probabilities_add_up():
     rng = np.random.default_rng(2)
     code, size = pitman_yor.tokens([prose(rng, 300, 200) for _ in range(20)])
-    b = pitman_yor.block(code, size, np.ones(20, bool))
+    common = np.sort(np.unique(code)[:40])
+    b = pitman_yor.block(code, size, np.ones(20, bool), common)
     owner = np.repeat(np.arange(b.token.size), b.per_token)
-    totals = np.bincount(b.context, weights=b.count, minlength=pitman_yor.CONTEXTS)
-    s = pitman_yor.seat(owner, b.context, b.count.astype(np.int64), b.token.size, 1, totals, 0)
-    spare = (pitman_yor.STRENGTH + pitman_yor.DISCOUNT * s.tables) / (pitman_yor.STRENGTH + totals)
-    spare_1 = (pitman_yor.STRENGTH_1 + pitman_yor.DISCOUNT_1 * s.parent_tables) / (pitman_yor.STRENGTH_1 + s.parent_customers)
-    v = b.token.size
-    p1 = s.parent_left / (pitman_yor.STRENGTH_1 + s.parent_customers) + spare_1 / (v + 1)
-    assert p1.sum() + spare_1 / (v + 1) == pytest.approx(1)
-    for u in range(0, pitman_yor.CONTEXTS, 9):
-        own = b.context == u
-        assert (s.left[own].sum() / (pitman_yor.STRENGTH + totals[u])) + spare[u] == pytest.approx(1)
-
-
-def test_restaurant_keeps_its_customers():
+    s = pitman_yor.Seating(owner, b.context, b.count.astype(np.int64), b.token.size, np.random.default_rng(0))
+    for _ in range(4):
+        s.sweep(s.sums())
+    t = s.sums()
+    assert (s.t[s.c > 0] >= 1).all() and (s.t <= s.c).all() and (s.t1 <= s.c1).all()
+    left = np.zeros(b.count.size)
+    left[s.own] = s.c - pitman_yor.DISCOUNT * s.t
+    spare = (pitman_yor.STRENGTH + pitman_yor.DISCOUNT * t.tables) / (pitman_yor.STRENGTH + t.customers)
+    spare_1 = (pitman_yor.STRENGTH_1 + pitman_yor.DISCOUNT_1 * t.parent_tables) / (pitman_yor.STRENGTH_1 + t.parent_customers)
+    p1 = (s.c1 - pitman_yor.DISCOUNT_1 * s.t1) / (pitman_yor.STRENGTH_1 + t.parent_customers) + spare_1 / (t.types + 1)
+    assert p1.sum() + spare_1 / (t.types + 1) == pytest.approx(1)
+    for u in np.unique(b.context):
+        assert left[b.context == u].sum() / (pitman_yor.STRENGTH + t.customers[u]) + spare[u] == pytest.approx(1)
+
+
+def test_frequent_contexts_are_exact(spark):
+    rng = np.random.default_rng(8)
+    texts = [prose(rng, 200, 3000) for _ in range(120)] + [None]
+    got = pitman_yor.frequent(pitman_yor.id_text(frame(spark, texts).repartition(5)), block_bytes=4000)
+    train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 7 != 2]
+    n = Counter(w for i in train for w in WORD.findall(texts[i] or ""))
+    total = sum(n.values()) + len(train)
+    code = {w: int(pitman_yor.tokens([w])[0][0]) for w in n}
+    best = sorted((w for w in n if n[w] * pitman_yor.SHARE >= total), key=lambda w: (-n[w], code[w]))[: pitman_yor.FREQUENT]
+    assert len(best) > 50 and got.tolist() == sorted(code[w] for w in best)
+
+
+def test_stirling_numbers_and_saddlepoint(monkeypatch):
+    d = 0.8
+    table = pitman_yor.stirling(d)
+    seatings = Counter()  # of four customers: sizes of tables, with their weights
+    states = {(1,): 1.0}
+    for _ in range(3):
+        after = Counter()
+        for sizes, w in states.items():
+            for k, x in enumerate(sizes):
+                after[tuple(sorted([*sizes[:k], x + 1, *sizes[k + 1 :]]))] += w * (x - d)
+            after[tuple(sorted([*sizes, 1]))] += w
+        states = after
+    for sizes, w in states.items():
+        seatings[len(sizes)] += w
+    assert np.exp(table[4, 1:5]) == pytest.approx([seatings[t] for t in (1, 2, 3, 4)])
+    with monkeypatch.context() as m:
+        m.setattr(pitman_yor, "EXACT", 2500)
+        pitman_yor.stirling.cache_clear()
+        large = pitman_yor.stirling(d)
+    pitman_yor.stirling.cache_clear()
+    pitman_yor._correction.cache_clear()
+    for c in (513, 900, 2500):
+        t = np.array([1.0, 2, 5, 20, 100, 300, c // 2, c - 9])
+        exact = large[c, t.astype(int)] - pitman_yor.log_gamma(np.array([c + 1.0]))
+        off = pitman_yor.log_stirling(np.full(t.size, float(c)), t, d) - exact
+        assert np.abs(np.diff(off) / np.diff(np.log(t))).max() < 0.12  # what moves a draw is how the error changes with t
+    assert pitman_yor.log_gamma(np.array([0.3, 1, 7, 1e6])) == pytest.approx([math.lgamma(x) for x in (0.3, 1, 7, 1e6)], abs=1e-8)
+
+
+def test_drawn_tables_follow_the_conditional(monkeypatch):
     rng = np.random.default_rng(0)
-    c = rng.zipf(1.5, 500).clip(max=5000)
-    r = pitman_yor.Restaurant(c, np.full(500, 0.5), 0.8, rng)
-    for _ in range(5):
-        busy = np.flatnonzero(c > 1)
-        r.leave(busy)
-        r.sit(busy, np.full(busy.size, 0.5))
-        assert (np.bincount(r.row, weights=r.size, minlength=500) == c).all() and r.size.min() >= 1 and (r.tables() <= c).all()
+    for c, alpha, p, d in ((2, 1.0, 0.3, 0.8), (9, 30.0, 0.05, 0.8), (300, 500.0, 0.02, 0.8), (300, 1.0, 1e-4, 0.7)):
+        t = np.arange(1, c + 1)
+        w = pitman_yor.stirling(d)[c, 1 : c + 1] + np.cumsum(np.log(alpha + d * (t - 1)) + math.log(p))
+        w = np.exp(w - w.max()) / np.exp(w - w.max()).sum()
+        mean, sd = (w * t).sum(), math.sqrt((w * t * t).sum() - (w * t).sum() ** 2)
+        many = lambda: pitman_yor.drawn(np.full(4000, c), np.full(4000, alpha), np.full(4000, p), d, rng)  # noqa: B023, E731
+        got = many()
+        assert abs(got.mean() - mean) < 5 * sd / math.sqrt(4000) + 1e-9 and got.std() == pytest.approx(sd, rel=0.12, abs=0.02)
+        if c == 300:  # the approximation, at a size where the exact one is known
+            with monkeypatch.context() as m:
+                m.setattr(pitman_yor, "EXACT", 200)
+                for f in (pitman_yor.stirling, pitman_yor._correction):
+                    f.cache_clear()
+                got = many()
+            for f in (pitman_yor.stirling, pitman_yor._correction):
+                f.cache_clear()
+            assert abs(got.mean() - mean) < 0.03 * mean + 0.1 and got.std() == pytest.approx(sd, rel=0.15, abs=0.1)
+    big = pitman_yor.drawn(np.array([10**9, 10**6, 5000]), np.array([1e6, 1e4, 10.0]), np.array([0.01, 0.001, 1e-6]), 0.8, rng)
+    assert (big >= 1).all() and 10**4 < big[0] < 10**6 and big[2] < 10
+
+
+def test_gibbs_matches_customer_by_customer_sampling():
+    """Predictive probabilities on a tiny corpus against a plain Gibbs sampler that moves one customer at a time."""
+    pairs = [(0, 0, 6), (0, 1, 3), (1, 0, 2), (1, 1, 1), (2, 1, 5), (2, 2, 1), (3, 0, 1)]  # token, context, count
+    token, context, count = map(np.array, zip(*pairs))
+    d, s, d1, s1, types = pitman_yor.DISCOUNT, pitman_yor.STRENGTH, pitman_yor.DISCOUNT_1, pitman_yor.STRENGTH_1, 4
+
+    def predictive(t, t1):
+        c1 = np.bincount(token, weights=t, minlength=4)
+        p1 = (c1 - d1 * t1 + (s1 + d1 * t1.sum()) / (types + 1)) / (s1 + c1.sum())
+        cu, tu = np.bincount(context, weights=count, minlength=3), np.bincount(context, weights=t, minlength=3)
+        return (count - d * t + (s + d * tu[context]) * p1[token]) / (s + cu[context])
+
+    rng = random.Random(1)
+    tables = {k: [1] * c for k, (*_, c) in enumerate(pairs)}  # sizes by pair
+    parent = {w: [1] * sum(c for x, _, c in pairs if x == w) for w in range(4)}
+
+    def p_parent(w):
+        c, t = sum(map(sum, parent.values())), sum(map(len, parent.values()))
+        return (sum(parent[w]) - d1 * len(parent[w]) + (s1 + d1 * t) / (types + 1)) / (s1 + c)
+
+    def leave(sizes):
+        at = rng.choices(range(len(sizes)), sizes)[0]
+        sizes[at] -= 1
+        if not sizes[at]:
+            sizes.pop(at)
+            return True
+        return False
+
+    def sit(sizes, discount, fresh):
+        at = rng.choices(range(len(sizes) + 1), [x - discount for x in sizes] + [fresh])[0]
+        if at == len(sizes):
+            sizes.append(1)
+            return True
+        sizes[at] += 1
+        return False
+
+    def parent_sit(w):
+        t = sum(map(len, parent.values()))
+        sit(parent[w], d1, (s1 + d1 * t) / (types + 1))
+
+    plain, n = np.zeros(len(pairs)), 0
+    for sweep in range(3000):
+        for k, (w, u, c) in enumerate(pairs):
+            for _ in range(c):
+                if leave(tables[k]):
+                    leave(parent[w])
+                t_u = sum(len(tables[j]) for j, (_, v, _) in enumerate(pairs) if v == u)
+                if sit(tables[k], d, (s + d * t_u) * p_parent(w)):
+                    parent_sit(w)
+        if sweep >= 200:
+            plain, n = plain + predictive(np.array([len(tables[k]) for k in range(len(pairs))]), np.array([len(parent[w]) for w in range(4)])), n + 1
+    seated = pitman_yor.Seating(token, context, count, 4, np.random.default_rng(3))
+    got, m = np.zeros(len(pairs)), 0
+    for sweep in range(3000):
+        seated.sweep(seated.sums())
+        if sweep >= 200:
+            got, m = got + predictive(seated.t, seated.t1), m + 1
+    assert got / m == pytest.approx(plain / n, rel=0.05)
 
 
 # --- 8
