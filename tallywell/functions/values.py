@@ -126,7 +126,12 @@ def natural_key(c: Column) -> Column:
     """Text order that ignores case and compares runs of digits by value."""
     s = F.lower(c.cast("string"))
     runs = F.regexp_extract_all(s, F.lit(r"(\D+|\d+)"), F.lit(1))
-    return F.concat_ws("", F.transform(runs, lambda x: F.when(x.rlike(r"^\d"), F.lpad(F.regexp_replace(x, "^0+(?=.)", ""), 30, "0")).otherwise(x)))
+
+    def by_value(digits: Column) -> Column:  # shorter numbers first, then digit by digit
+        own = F.regexp_replace(digits, "^0+(?=.)", "")
+        return F.concat(F.lpad(F.length(own).cast("string"), 10, "0"), own)
+
+    return F.concat_ws("", F.transform(runs, lambda x: F.when(x.rlike(r"^\d"), by_value(x)).otherwise(x)))
 
 
 def folded(c: Column) -> Column:
@@ -145,10 +150,11 @@ def canonical(c: Column, kind: T.DataType | None = None) -> Column:
 
 
 def exact_sum(x: Column) -> Column:
-    """The sum of numbers, the same in any order: in decimals of six places, or in doubles where one does not fit."""
-    d = x.try_cast("decimal(28,6)")
-    fits = F.count(x) == F.count(F.when(F.abs(x) < 1e15, d))
-    return F.when(fits, F.sum(F.when(F.abs(x) < 1e15, d)).cast("double")).otherwise(F.sum(x))
+    """The sum of numbers, the same in any order: in decimals that hold every cell as it is (18 places, 20 digits
+    before them), or in doubles where one does not fit."""
+    d = x.try_cast("decimal(38,18)")
+    fits = F.count(x) == F.count(F.when(d.cast("double") == x, 1))
+    return F.when(fits, F.coalesce(F.try_sum(d).cast("double"), F.sum(x))).otherwise(F.sum(x))
 
 
 def half_up(x: Column, places: int) -> Column:

@@ -144,8 +144,9 @@ def aggregate(df: DataFrame, by: Sequence[str] = (), metrics: Sequence[Metric] =
     adds = [m for m in metrics if m.function in ("sum", "avg")]
     if adds:
         guards.check_levels(df)
-    check = guards.currency_check(df) if adds else guards.Currency()
-    repeats = guards.header_repeats(df) if adds else {}
+    money = [m.column for m in metrics if m.column and m.function != "count"] if adds else []
+    check = guards.currency_check(df, money)
+    repeats = guards.header_repeats(df, [m.column for m in adds])
     aggs = [x for k, (m, kind) in enumerate(zip(metrics, kinds)) for x in _aggregates(df, m, kind, check, repeats, k)]
     groups = _finished(df.groupBy(*[values.col(b) for b in by]).agg(*aggs), by, metrics, check, repeats)
     totals = _finished(df.agg(*aggs), (), metrics, check, repeats, total_of=by)

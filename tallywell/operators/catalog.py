@@ -76,7 +76,7 @@ def fresh(manifest: DataFrame, now: str) -> DataFrame:
 def dominant_currency(rows: DataFrame, subsidiary: str = "subsidiary", currency: str = "currency", n: str = "n") -> DataFrame:
     """The currency with the highest count in each subsidiary (ties: the first by name), and its share."""
     sums = rows.groupBy(subsidiary, currency).agg(F.sum(n).alias("n"))
-    best = F.max_by(F.col(currency), F.struct(F.col("n"), F.expr("-ascii(" + currency + ")")))
+    best = F.min(F.struct((-F.col("n")).alias("less"), F.col(currency).alias("name")))["name"]
     return sums.groupBy(subsidiary).agg(best.alias("currency"), (F.max("n") / F.sum("n")).alias("share"))
 
 

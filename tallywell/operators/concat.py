@@ -81,9 +81,20 @@ def concat(pages: Sequence[Page]) -> Joined:
     return Joined(df, notes, truncated)
 
 
+RANGES = 1_000_000  # rows of which one task orders about so many
+
+
 def gaps(meta: DataFrame, start: str, rows: str) -> DataFrame:
-    """Places where ranges leave a gap or overlap, over a table of page metadata: expected and actual start."""
+    """Places where ranges leave a gap or overlap: expected and actual start. Starts are cut into spans of equal
+    width; a task orders one span, and the first range of each span looks at the last one of the spans before."""
     from pyspark.sql import Window
 
-    end = F.lag(F.col(start) + F.col(rows)).over(Window.partitionBy().orderBy(start))  # a row for each page
-    return meta.select(F.col(start), end.alias("expected")).filter(F.col("expected") != F.col(start))
+    span = meta.agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("low"), F.max(start).alias("high")).first()
+    parts = max(1, -(-span["n"] // RANGES))
+    width = max(1, ((span["high"] or 0) - (span["low"] or 0)) // parts + 1)
+    own = meta.select(F.col(start), (F.col(start) + F.col(rows)).alias("__end"), F.floor((F.col(start) - F.lit(span["low"] or 0)) / width).alias("__part"))
+    last = own.groupBy("__part").agg(F.max(F.struct(F.col(start), F.col("__end")))["__end"].alias("__last"))
+    before = last.select("__part", F.lag("__last").over(Window.partitionBy().orderBy("__part")).alias("__before"))  # a row for each span
+    inside = F.lag("__end").over(Window.partitionBy("__part").orderBy(start, "__end"))
+    placed = own.withColumn("__inside", inside).join(F.broadcast(before), "__part")
+    return placed.select(F.col(start), F.coalesce("__inside", "__before").alias("expected")).filter(F.col("expected") != F.col(start))

@@ -50,6 +50,16 @@ def _side(df: DataFrame, on: Sequence[str], cols: Sequence[str], money: Sequence
     return df.groupBy(*_key(df, on)).agg(*aggs).withColumn(f"__has_{side}", F.lit(True))
 
 
+def _numbers(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """(cells, cells that are no numbers) of each column; typed ones need no look, texts one aggregation together."""
+    texts = [c for c in cols if not isinstance(values.type_of(df, c), values.NUMERIC)]
+    out = {c: (0, 0) for c in cols}
+    if texts:
+        row = df.agg(*[x for c in texts for x in (F.count(values.text_in(df, c)), F.count(F.when(guards.number_of(df, c).isNull(), values.text_in(df, c))))]).first()
+        out |= {c: (row[2 * k], row[2 * k + 1]) for k, c in enumerate(texts)}
+    return out
+
+
 def diff(a: DataFrame, b: DataFrame, on: Sequence[str], cols: Sequence[str], tolerance: float = 0.0, currencies: tuple[str, str] | None = None) -> Difference:
     """currencies: those of two reports, whose deltas are not available where they differ."""
     if not tolerance >= 0 or tolerance == float("inf"):
@@ -73,16 +83,15 @@ def diff(a: DataFrame, b: DataFrame, on: Sequence[str], cols: Sequence[str], tol
             raise ValueError(f"the key {', '.join(on)} is not unique among report lines ({worst[0]} keys repeat, such as {worst[1]}); nested rows would be added together")
     if worst[0]:
         warnings.append(f"the key {', '.join(on)} is not unique: {worst[0]} keys repeat (such as {worst[1]}); their values are summed.")
+    found = [_numbers(df, cols) for df in (a, b)]
     for c in cols:
-        bad = [F.when(guards.number_of(df, c).isNull(), values.text_in(df, c)) for df in (a, b)]
-        rows = [df.agg(F.count(F.when(~values.blank_in(df, c), 1)), F.count(x), F.min(x)).first() for df, x in zip((a, b), bad)]
-        present, wrong = sum(r[0] for r in rows), sum(r[1] for r in rows)
+        present, wrong = (sum(side[c][k] for side in found) for k in (0, 1))
         if present and wrong == present:
             raise ValueError(f"{c} holds text, and only numbers are compared; put it in the key")
         if wrong:
             warnings.append(f"{c}: skipped {wrong} values that are no numbers.")
     money = [] if report else [c for c in cols if names.is_money(c)]
-    check_a, check_b = (guards.currency_check(df) if money else guards.Currency() for df in (a, b))
+    check_a, check_b = (guards.currency_check(df, money) for df in (a, b))
     left, right = _side(a, on, cols, money, check_a, "a"), _side(b, on, cols, money, check_b, "b")
     joined = left.join(right, on, "full_outer")
     out: list[Column] = [values.col(c) for c in on]

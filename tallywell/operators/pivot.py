@@ -25,8 +25,8 @@ def pivot(df: DataFrame, row: str, column: str, metric: Metric | None = None, sh
     adds = metric.function in ("sum", "avg")
     if adds:
         guards.check_levels(df, "a pivot")
-    check = guards.currency_check(df) if adds else guards.Currency()
-    repeats = guards.header_repeats(df) if adds else {}
+    check = guards.currency_check(df, [metric.column] if adds else [])
+    repeats = guards.header_repeats(df, [metric.column]) if adds else {}
     text = lambda c: F.coalesce(values.text_form(values.col(c), values.type_of(df, c)), F.lit(""))
     heads = [r[0] for r in df.select(text(column).alias("x")).distinct().orderBy("x").limit(shown + 1).collect()]
     names_, more = heads[:shown], len(heads) > shown
@@ -36,10 +36,9 @@ def pivot(df: DataFrame, row: str, column: str, metric: Metric | None = None, sh
     cells = df.groupBy(text(row).alias("__row"), spot.alias("__column")).agg(*_aggregates(df, metric, kind, check, repeats, 0), (F.min(values.col(order)) if order else F.lit(0)).alias("__first"))
     long = _finished(cells.withColumnRenamed("__first", "__f"), ["__row", "__column", "__f"], [metric], check, repeats)
     out = [*names_, *([OTHER] if more else [])]
-    wanted = [F.first(values.col(metric.name), ignorenulls=True).alias("v")] + ([F.first(values.col(f"{metric.name}_na"), ignorenulls=True).alias("na")] if adds else [])
+    wanted = [F.first(values.col(metric.name), ignorenulls=True).alias("v"), F.min("__f").alias("f")]
+    wanted += [F.first(values.col(f"{metric.name}_na"), ignorenulls=True).alias("na")] if adds else []
     wide = long.groupBy("__row").pivot("__column", out).agg(*wanted)
-    first = long.groupBy("__row").agg(F.min("__f").alias("__f"))
-    wide = wide.join(first, "__row").orderBy("__f", "__row")
-    if not adds:
-        return wide.select(F.col("__row").alias(row), *[values.col(c) for c in out])
-    return wide.select(F.col("__row").alias(row), *[values.col(f"{c}_v").alias(c) for c in out], *[values.col(f"{c}_na") for c in out])
+    wide = wide.withColumn("__f", F.array_min(F.array(*[values.col(f"{c}_f") for c in out]))).orderBy("__f", "__row") if out else wide
+    shown_ = [values.col(f"{c}_v").alias(c) for c in out]
+    return wide.select(F.col("__row").alias(row), *shown_, *[values.col(f"{c}_na") for c in out if adds])

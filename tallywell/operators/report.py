@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -106,7 +107,15 @@ def flatten_document(document: dict) -> tuple[list[dict], list[dict], list[str]]
 
 def flatten(documents: DataFrame, id_col: str, json_col: str, value_columns: Sequence[str]) -> DataFrame:
     """Report rows of many documents: id, ord, line, depth, is_detail, kind and a double for each value column.
-    Nesting is sequential within a document, so each document is one call; documents spread over tasks."""
+    Nesting is sequential within a document, so each document is one call; documents spread over tasks. A document
+    that cannot be read gives one row of kind "error" with the reason as its line; a cell that is no number is null."""
+
+    def number(x) -> float | None:
+        try:
+            y = float(x)
+        except (TypeError, ValueError):
+            return None
+        return y if math.isfinite(y) else None
 
     def run(batches):
         for pdf in batches:
@@ -114,10 +123,14 @@ def flatten(documents: DataFrame, id_col: str, json_col: str, value_columns: Seq
             for i, text in zip(pdf["id"], pdf["text"]):
                 if text is None:
                     continue
-                rows, _, _ = flatten_document(json.loads(text))
+                try:
+                    rows, _, _ = flatten_document(json.loads(text))
+                except (ValueError, TypeError, AttributeError, KeyError, RecursionError) as e:
+                    out.append((i, 0, f"{type(e).__name__}: {e}"[:200], None, None, "error", *[None] * len(value_columns)))
+                    continue
                 for k, r in enumerate(rows):
                     line = r["line"]
-                    out.append((i, k, None if line is None else str(line), r["depth"], r["is_detail"], r["kind"], *[None if not _filled(r.get(c)) else float(r[c]) for c in value_columns]))
+                    out.append((i, k, None if line is None else str(line), r["depth"], r["is_detail"], r["kind"], *[number(r.get(c)) for c in value_columns]))
             yield pd.DataFrame(out, columns=["id", "ord", "line", "depth", "is_detail", "kind", *value_columns])
 
     fields = ", ".join(["id string, ord long, line string, depth int, is_detail boolean, kind string", *[f"`{c}` double" for c in value_columns]])
@@ -134,19 +147,23 @@ def identical_columns(df: DataFrame, columns: Sequence[str]) -> list[tuple[str,
     return [p for k, p in enumerate(pairs) if row[f"s{k}"] and row[f"f{k}"]]
 
 
-def parents(df: DataFrame, group: Sequence[str] = ("id",), order: str = "ord", deepest: int = 12) -> DataFrame:
-    """df with ``parent``, the order of the row that a row hangs under: the last row before it that is one level up."""
-    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    up: Column = F.lit(None).cast("long")
-    for d in range(deepest):
-        up = F.when(F.col("depth") == d + 1, F.last(F.when(F.col("depth") == d, F.col(order)), ignorenulls=True).over(w)).otherwise(up)
-    return df.withColumn("parent", up)
+def parents(df: DataFrame, group: Sequence[str] = ("id",), order: str = "ord") -> DataFrame:
+    """df with ``parent``, the order of the row that a row hangs under: the last row before it that is one level up.
+
+    Each row stands twice in one window, as a possible parent at its level and as a seeker at the level above, so
+    any depth takes one pass.
+    """
+    twice = F.explode(F.array(F.struct(F.col("depth").alias("__level"), F.lit(False).alias("__seeks")), F.struct((F.col("depth") - 1).alias("__level"), F.lit(True).alias("__seeks"))))
+    both = df.select("*", twice.alias("__x")).select(*[values.col(c) for c in df.columns], F.col("__x.*"))
+    w = Window.partitionBy(*group, "__level").orderBy(order, F.desc("__seeks")).rowsBetween(Window.unboundedPreceding, -1)
+    up = F.last(F.when(~F.col("__seeks"), F.col(order)), ignorenulls=True).over(w)
+    return both.withColumn("parent", up).filter("__seeks").drop("__level", "__seeks")
 
 
 def section_signs(df: DataFrame, value: str, group: Sequence[str] = ("id",), order: str = "ord") -> DataFrame:
     """Each parent's amount against the sum of its children: sign 1 where they agree, -1 where they agree with the
     sign turned, null where neither holds, within a cent or a millionth."""
-    rows = parents(df.filter(~F.col("kind").isin("structural", "spacer", "detail")), group, order)
+    rows = parents(df.filter(~F.col("kind").isin("structural", "spacer", "detail", "error")), group, order)
     kids = rows.filter("parent is not null").groupBy(*group, "parent").agg(values.exact_sum(values.col(value)).alias("children"), F.count(F.lit(1)).alias("n"))
     own = rows.select(*group, F.col(order).alias("parent"), "line", "depth", values.col(value).alias("amount"))
     near = lambda x, y: F.abs(x - y) <= F.greatest(F.lit(0.01), F.abs(y) * 1e-6)

@@ -171,6 +171,48 @@ def agg_header_repeat(spark, sf_dir):
     return aggregate(_lines(spark, sf_dir), ["o_orderstatus"], [Metric("sum", "total"), Metric("sum", "lineamount")]).df
 
 
+@query("""SELECT l_returnflag, round(sum(CAST(l_discount AS DOUBLE) * 1e-8), 10) AS total, round(avg(CAST(l_discount AS DOUBLE) * 1e-8), 13) AS mean FROM lineitem GROUP BY 1""")
+def agg_small_values(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem").select("l_returnflag", (F.col("l_discount").cast("double") * 1e-8).alias("weight"))
+    out = aggregate(df, ["l_returnflag"], [Metric("sum", "weight"), Metric("avg", "weight")]).df
+    return out.select("l_returnflag", F.round("sum_weight", 10).alias("total"), F.round("avg_weight", 13).alias("mean"))
+
+
+@query("SELECT c_mktsegment, min(c_name) AS min_c_name, max(c_name) AS max_c_name, count(*) AS count FROM customer GROUP BY 1")
+def agg_text_min_max(spark, sf_dir):
+    return aggregate(table(spark, sf_dir, "customer"), ["c_mktsegment"], [Metric("min", "c_name"), Metric("max", "c_name"), Metric("count")]).df
+
+
+@query("SELECT o_custkey, count(*) AS count, max(o_totalprice) AS max_o_totalprice FROM orders GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 7")
+def agg_top_groups(spark, sf_dir):
+    return aggregate(table(spark, sf_dir, "orders"), ["o_custkey"], [Metric("count"), Metric("max", "o_totalprice")], sort="o_totalprice", top=7).df
+
+
+@query("""SELECT p_brand, CAST(sum(CASE WHEN p_size % 5 <> 0 THEN p_size END) AS DOUBLE) AS sum_size, CAST(NULL AS VARCHAR) AS sum_size_na, 'sum_size: skipped ' || (SELECT count(*) FROM part WHERE p_size % 5 = 0) || ' values of size that are no numbers (such as "none").' AS note
+    FROM part GROUP BY 1""")
+def agg_typed_text(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    size = F.when(F.col("p_size") % 5 == 0, "none").otherwise(F.concat(F.lit(" "), F.col("p_size").cast("string"), F.lit(".0")))
+    df = table(spark, sf_dir, "part").select("p_brand", size.alias("size", metadata={"logical": "num"}))
+    assert isinstance(df.schema["size"].dataType, T.StringType)
+    made = aggregate(df, ["p_brand"], [Metric("sum", "size"), Metric("sum", "size")])
+    return made.df.withColumn("note", F.lit("; ".join(made.warnings)))
+
+
+@query("SELECT 'p_partkey' AS name, 'refused' AS outcome UNION ALL SELECT 'p_name', 'refused' UNION ALL SELECT 'exchange_rate', 'refused' UNION ALL SELECT 'p_size', 'allowed'")
+def agg_refusals(spark, sf_dir):
+    df = table(spark, sf_dir, "part").withColumn("exchange_rate", F.lit(1.5)).withColumnRenamed("p_partkey", "p_partid")
+    out = []
+    for c in ("p_partid", "p_name", "exchange_rate", "p_size"):
+        try:
+            aggregate(df, [], [Metric("sum", c)])
+            out.append((c.replace("p_partid", "p_partkey"), "allowed"))
+        except ValueError:
+            out.append((c.replace("p_partid", "p_partkey"), "refused"))
+    return spark.createDataFrame(out, "name string, outcome string")
+
+
 # --- pivot
 
 
@@ -195,6 +237,13 @@ def pivot_overflow(spark, sf_dir):
     return wide.select("p_type", total.alias("shown"), values.col(pivot.OTHER).alias("other"))
 
 
+@query(f"""SELECT n_name, {", ".join(f"CASE WHEN count(DISTINCT currency) FILTER (WHERE segment = '{m}') <= 1 THEN CAST(sum(CAST(amount AS DECIMAL(28,6))) FILTER (WHERE segment = '{m}') AS DOUBLE) END AS {m}, CASE WHEN count(DISTINCT currency) FILTER (WHERE segment = '{m}') > 1 THEN 'n/a (' || count(DISTINCT currency) FILTER (WHERE segment = '{m}') || ' currencies)' END AS {m}_na" for m in ("AUTOMOBILE", "BUILDING"))}
+    FROM (SELECT CASE WHEN amount < 0 THEN 'debt' ELSE n_name END AS n_name, segment, currency, amount FROM ({_MONEY}) WHERE segment IN ('AUTOMOBILE', 'BUILDING')) GROUP BY n_name""")
+def pivot_mixed_currency(spark, sf_dir):
+    df = _money(spark, sf_dir).filter("segment in ('AUTOMOBILE', 'BUILDING')").withColumn("n_name", F.when(F.col("amount") < 0, "debt").otherwise(F.col("n_name")))
+    return pivot.pivot(df, "n_name", "segment", Metric("sum", "amount"))
+
+
 # --- diff, concatenation
 
 
@@ -221,6 +270,19 @@ def diff_tolerance(spark, sf_dir):
     return _difference(spark, sf_dir, 50000).df.groupBy("_outcome").count()
 
 
+@query("""SELECT coalesce(a.k, b.k) AS code, a.v AS size_a, b.v AS size_b, CASE WHEN a.k IS NULL THEN 'only_b' WHEN b.k IS NULL THEN 'only_a' ELSE 'both' END AS _presence,
+    CASE WHEN a.v IS NULL OR b.v IS NULL OR a.v <> b.v THEN 'changed' ELSE 'same' END AS _outcome
+    FROM (SELECT CASE WHEN p_partkey % 4 = 0 THEN '00' || p_partkey ELSE CAST(p_partkey AS VARCHAR) END AS k, CAST(p_size AS DOUBLE) AS v FROM part WHERE p_partkey % 3 < 2) a
+    FULL JOIN (SELECT CASE WHEN p_partkey % 4 = 0 THEN '00' || p_partkey ELSE CAST(p_partkey AS VARCHAR) END AS k, CAST(p_size + (p_partkey % 5 = 0)::INT AS DOUBLE) AS v FROM part WHERE p_partkey % 3 > 0) b ON a.k = b.k""")
+def diff_text_keys(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    zeros = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("00"), F.col("p_partkey").cast("string")))
+    a = part.filter("p_partkey % 3 < 2").select(F.coalesce(zeros, F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit(".50"))).alias("code"), F.col("p_size").alias("size"))
+    a = a.withColumn("code", F.regexp_replace("code", r"\.50$", ".00"))
+    b = part.filter("p_partkey % 3 > 0").select(F.coalesce(zeros, F.col("p_partkey").cast("string")).alias("code"), (F.col("p_size") + (F.col("p_partkey") % 5 == 0).cast("int")).alias("size"))
+    return diff.diff(a, b, ["code"], ["size"]).df.select("code", "size_a", "size_b", "_presence", "_outcome")
+
+
 @query("SELECT o_orderkey, o_totalprice, CAST(CASE WHEN o_orderpriority < '3' THEN 0 ELSE 1 END AS INTEGER) AS _page FROM orders")
 def concat_pages(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
@@ -229,9 +291,9 @@ def concat_pages(spark, sf_dir):
     return concat.concat([concat.Page(parts[0], "select 1", index=1, size=500), concat.Page(parts[1], "select  1", index=0, size=500)]).df
 
 
-@query("""SELECT o_orderkey, expected FROM (SELECT o_orderkey, lag(o_orderkey + 1) OVER (ORDER BY o_orderkey) AS expected FROM orders WHERE o_custkey < 40) WHERE o_orderkey <> expected""")
+@query("""SELECT o_orderkey, expected FROM (SELECT o_orderkey, lag(o_orderkey + n) OVER (ORDER BY o_orderkey) AS expected FROM (SELECT o_orderkey, 1 + o_custkey % 3 AS n FROM orders)) WHERE o_orderkey <> expected""")
 def page_gaps(spark, sf_dir):
-    return concat.gaps(table(spark, sf_dir, "orders").filter("o_custkey < 40").select("o_orderkey", F.lit(1).alias("n")), "o_orderkey", "n")
+    return concat.gaps(table(spark, sf_dir, "orders").select("o_orderkey", (1 + F.col("o_custkey") % 3).alias("n")), "o_orderkey", "n")
 
 
 # --- profile and ingest
@@ -292,6 +354,25 @@ def report_signs(spark, sf_dir):
     return report.section_signs(rows, "Amount").select("id", "line", "amount", "n", "sign")
 
 
+@query("""SELECT id, ord, CASE WHEN ord % 17 = 0 THEN NULL ELSE ord - 1 END AS parent FROM (SELECT CAST(c_nationkey AS VARCHAR) AS id, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS ord FROM customer)""")
+def report_deep_parents(spark, sf_dir):
+    from pyspark.sql import Window
+
+    place = (F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) - 1).cast("long")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("id"), place.alias("ord")).withColumn("depth", (F.col("ord") % 17).cast("int"))
+    return report.parents(rows).select("id", "ord", "parent")
+
+
+@query("""SELECT CAST(n_nationkey AS VARCHAR) AS id, CASE WHEN n_nationkey % 3 = 0 THEN 'error' ELSE 'section' END AS kind, CASE WHEN n_nationkey % 3 = 1 THEN CAST(n_nationkey AS DOUBLE) END AS amount FROM nation""")
+def report_broken_documents(spark, sf_dir):
+    cell = F.when(F.col("n_nationkey") % 3 == 1, F.col("n_nationkey").cast("string")).otherwise("no number")
+    entry = F.struct(F.col("n_name").alias("alias"), F.col("n_name").alias("value"), F.array(F.struct(cell.alias("amount"))).alias("summaryLineValues"))
+    whole = F.to_json(F.struct(F.array(entry).alias("reportData"), F.array(F.struct(F.lit("amount").alias("id"), F.lit("amount").alias("label"), F.lit("amount").alias("path"))).alias("reportColumns")))
+    text = F.when(F.col("n_nationkey") % 3 == 0, F.substring(whole, 1, 30)).otherwise(whole)
+    docs = table(spark, sf_dir, "nation").select("n_nationkey", text.alias("text"))
+    return report.flatten(docs, "n_nationkey", "text", ["amount"]).select("id", "kind", "amount")
+
+
 # --- the SQL dialect
 
 
@@ -345,10 +426,40 @@ def sql_two_sided(spark, sf_dir):
         LEFT JOIN (SELECT l_suppkey AS k, COUNT(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey) b ON a.k = b.k""")
 
 
+@query("SELECT l_orderkey, l_linenumber, trunc(l_extendedprice * 10) / 10 AS tenth, trunc(CAST(l_extendedprice AS DOUBLE)) AS whole, strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS day FROM lineitem")
+def sql_trunc(spark, sf_dir):
+    _views(spark, sf_dir, "lineitem")
+    return dialect.run(spark, "SELECT l_orderkey, l_linenumber, TRUNC(l_extendedprice, 1) AS tenth, TRUNC(l_extendedprice) AS whole, TO_CHAR(TRUNC(l_shipdate), 'YYYY-MM-DD') AS day FROM lineitem")
+
+
+@query("SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') AS INTEGER) AS age FROM orders WHERE date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') > 400")
+def sql_date_minus_date(spark, sf_dir):
+    _views(spark, sf_dir, "orders")
+    return dialect.run(spark, "SELECT o_orderkey, TO_DATE('1998-08-02', 'YYYY-MM-DD') - TRUNC(o_orderdate) AS age FROM orders WHERE TO_DATE('1998-08-02', 'YYYY-MM-DD') - TRUNC(o_orderdate) > 400")
+
+
+@query("SELECT o_custkey, o_orderkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)")
+def sql_with_over(spark, sf_dir):
+    _views(spark, sf_dir, "orders")
+    return dialect.run(spark, """WITH big AS (SELECT * FROM orders WHERE o_totalprice > (SELECT AVG(o_totalprice) FROM orders)) SELECT o_custkey, o_orderkey, CAST(RANK() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS "k" FROM big""")
+
+
+@query("SELECT DISTINCT o_orderpriority FROM orders ORDER BY 1 LIMIT 3")
+def sql_top_unique(spark, sf_dir):
+    _views(spark, sf_dir, "orders")
+    return dialect.run(spark, "SELECT UNIQUE TOP 3 o_orderpriority FROM orders ORDER BY o_orderpriority")
+
+
+@query("SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P') AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def sql_semi_anti(spark, sf_dir):
+    _views(spark, sf_dir, "customer", "orders", "nation")
+    return dialect.run(spark, "SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P') AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+
+
 # --- catalogue
 
 
-@query("""SELECT n_name AS subsidiary, arg_max(seg, (n, -ascii(seg))) AS currency, max(n) / sum(n) AS share FROM (SELECT n_name, c_mktsegment AS seg, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1""")
+@query("""SELECT n_name AS subsidiary, arg_min(seg, (-n, seg)) AS currency, max(n) / sum(n) AS share FROM (SELECT n_name, c_mktsegment AS seg, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1""")
 def dominant_currency(spark, sf_dir):
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     df = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(F.col("n_name").alias("subsidiary"), F.col("c_mktsegment").alias("currency"), F.lit(1).alias("n"))

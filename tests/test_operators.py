@@ -1,4 +1,5 @@
 import pytest
+import pytest
 from pyspark.sql import functions as F
 
 from tallywell.operators import catalog, concat, diff, pivot, profile, report, sorting
@@ -170,3 +171,56 @@ def test_search(spark):
     df = spark.createDataFrame([("Open bills",), ("Bills",), ("My open bills",), ("Other",)], "title string")
     assert [r[0] for r in search(df, ["bills"]).collect()] == ["Bills", "Open bills", "My open bills"]
     assert [r[0] for r in search(df, ["open|other"]).collect()] == ["Other", "Open bills", "My open bills"]
+
+
+def test_small_sums_are_exact(spark):
+    df = spark.range(100_000).select(F.lit(4e-7).alias("qty"), F.lit(0.1).alias("weight"), F.lit(1e21).alias("size"))
+    r = aggregate(df, [], [Metric("sum", "qty"), Metric("sum", "weight"), Metric("avg", "qty"), Metric("sum", "size")]).df.first()
+    assert (r["sum_qty"], r["sum_weight"], r["avg_qty"]) == (0.04, 10000.0, 4e-7) and r["sum_size"] == pytest.approx(1e26)
+
+
+def test_natural_order_of_long_numbers(spark):
+    from tallywell.functions import values
+
+    names = ["a9", "a10", "a" + "9" * 40, "a1" + "0" * 40, "A2", "a002"]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").orderBy(values.natural_key(F.col("n")), "n").collect()]
+    assert got == ["A2", "a002", "a9", "a10", "a" + "9" * 40, "a1" + "0" * 40]
+
+
+def test_parents_at_any_depth(spark):
+    from tallywell.operators import report
+
+    depths = [*range(20), 3, 4, 0, 1, 1, -1, 2]
+    rows = report.parents(spark.createDataFrame([("x", k, d) for k, d in enumerate(depths)], "id string, ord long, depth int")).collect()
+    want = {k: max((j for j in range(k) if depths[j] == d - 1), default=None) for k, d in enumerate(depths)}
+    assert len(rows) == len(depths) and {r["ord"]: r["parent"] for r in rows} == want
+
+
+def test_broken_reports_give_a_row_each(spark):
+    import json
+
+    from tallywell.operators import report
+
+    good = {"reportColumns": [{"id": "v", "label": "v", "path": "v"}], "reportData": [{"alias": "a", "value": "A", "summaryLineValues": [{"v": "oops"}]}, {"alias": "b", "value": "B", "summaryLineValues": [{"v": "2"}]}]}
+    docs = [("good", json.dumps(good)), ("cut", json.dumps(good)[:40]), ("list", "[1, 2]"), ("text", "nothing"), ("none", None)]
+    rows = report.flatten(spark.createDataFrame(docs, "id string, text string"), "id", "text", ["v"]).collect()
+    assert {(r["id"], r["kind"]) for r in rows} == {("good", "section"), ("cut", "error"), ("list", "error"), ("text", "error")}
+    assert [r["v"] for r in rows if r["id"] == "good"] == [None, 2.0]
+
+
+def test_gaps_over_many_spans(spark, monkeypatch):
+    from tallywell.operators import concat
+
+    monkeypatch.setattr(concat, "RANGES", 7)
+    starts = [*range(0, 300, 10), 305, *range(320, 900, 10), 2000, 2010]
+    got = {tuple(r) for r in concat.gaps(spark.createDataFrame([(x, 10) for x in starts], "s long, n long"), "s", "n").collect()}
+    assert got == {(b, a + 10) for a, b in zip(starts, starts[1:]) if b != a + 10}
+
+
+def test_dominant_currency_ties_go_by_name(spark):
+    from tallywell.operators import catalog
+
+    rows = [("s", "EUR", 2), ("s", "EGP", 1), ("s", "EGP", 1), ("t", "USD", 1)]
+    for part in (1, 3):
+        got = {r["subsidiary"]: (r["currency"], r["share"]) for r in catalog.dominant_currency(spark.createDataFrame(rows[::-1], "subsidiary string, currency string, n int").repartition(part)).collect()}
+        assert got == {"s": ("EGP", 0.5), "t": ("USD", 1.0)}
