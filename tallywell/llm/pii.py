@@ -15,7 +15,8 @@ Null texts are empty; an empty table gives an empty one; repeated rows give repe
 several entities is one span. Only the id and text columns are read (``sanitise`` keeps the others as they are).
 Counts cover all documents, and all of them count documents. The corpus counts of entities and terms go through
 bitmaps of fixed size, exact counts through joins on hashes. Pairs are at most those entities' documents times
-their terms, three times; they are summed by passage first, so no entity's or term's pairs meet in one task.
+their terms, four times. They are dealt by their terms to buckets whose number grows with them: a document has a
+term once, so even a word of all documents is a small part of a bucket, and an entity's pairs spread over all.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ import math
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +52,7 @@ DISCLOSURE = 0.9
 MARGIN = 5.0  # of evidence, in natural logarithms
 BITS = 1 << 23
 CHUNK = 1 << 18  # rows that a task holds before it sends them
+PAIRS, BUCKET = 1000, 1 << 20  # pairs that a document has, about, and a bucket should
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -208,27 +212,76 @@ def _bitmap(keys: DataFrame, bits: int, column: str = "term") -> np.ndarray:
     return out[:bits]
 
 
-def pairs(df: DataFrame, entities: DataFrame, passage: int = PASSAGE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """entity, term, passage: each document's entities (those given, and ones that share their bit) with each of its terms."""
+_LINKED = "bucket int, blob binary"
+ANY = 0  # stands for every document that has an entity
+
+
+def pairs(df: DataFrame, entities: DataFrame, buckets: int, passage: int = PASSAGE, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """bucket, blob: each document's terms with its entities (those given, ones that share their bit, and ANY), packed
+    by the term's bucket: an entity and its passage stand once in a blob, a term and the number of that link each time."""
     wanted = _bitmap(entities, bits, "entity")
     ready(df.sparkSession)
-    schema = pa.schema([(n, pa.int64()) for n in ("entity", "term", "passage")])
+    schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
+    shift = np.uint64(64 - (buckets.bit_length() - 1))
+
+    def sent(terms: list[np.ndarray], links: list[tuple[int, int]]):
+        term = np.concatenate(terms).view(np.uint64)
+        link = np.repeat(np.arange(len(links), dtype=np.uint32), [t.size for t in terms])
+        at = (term >> shift).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        edges = np.searchsorted(at[order], np.arange(buckets + 1))
+        head = np.array(links, np.int64).tobytes()
+        pack = zstandard.ZstdCompressor(level=1).compress
+        rows = []
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            own = order[edges[k] : edges[k + 1]]
+            rows.append((k, pack(np.array([len(links), own.size], np.int64).tobytes() + head + term[own].tobytes() + link[own].tobytes())))
+        return rows_to_batch(schema, list(zip(*rows)))
 
     def run(batches):
-        held, size = [], 0
+        terms, links, size = [], [], 0
         for _, _, code, _, _, about in _with_entities(batches, wanted, passage):
-            terms = np.unique(code)
-            for entity, around in about.items():
-                held.append((np.full(terms.size, entity), terms, np.full(terms.size, around)))
-                size += terms.size
-                if size >= CHUNK:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*held)], schema=schema)
-                    held, size = [], 0
+            own = np.unique(code)
+            if not own.size:
+                continue
+            for link in [(ANY, 0), *about.items()]:
+                terms.append(own)
+                links.append(link)
+                size += own.size
+            if size >= CHUNK:
+                yield sent(terms, links)
+                terms, links, size = [], [], 0
         if size:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*held)], schema=schema)
+            yield sent(terms, links)
 
     rows = id_text(df, id_col, text_col)
-    return (rows if wanted.any() else rows.limit(0)).mapInArrow(run, "entity long, term long, passage long")
+    return (rows if wanted.any() else rows.limit(0)).mapInArrow(run, _LINKED)
+
+
+def _supported_pairs(pdf: pd.DataFrame, support: int) -> pd.DataFrame:
+    """entity, term, n_pair, n_any of one bucket's pairs that have the support."""
+    entity, passage, term = [], [], []
+    for blob in pdf["blob"]:
+        raw = zstandard.ZstdDecompressor().decompress(blob)
+        links, n = np.frombuffer(raw, np.int64, 2).tolist()
+        table = np.frombuffer(raw, np.int64, 2 * links, 16).reshape(-1, 2)
+        link = np.frombuffer(raw, np.uint32, n, 16 + 16 * links + 8 * n)
+        term.append(np.frombuffer(raw, np.int64, n, 16 + 16 * links))
+        entity.append(table[link, 0])
+        passage.append(table[link, 1])
+    entity, passage, term = map(np.concatenate, (entity, passage, term))
+    order = np.lexsort((passage, entity, term))
+    entity, passage, term = entity[order], passage[order], term[order]
+    new = np.ones(term.size, bool)
+    new[1:] = (term[1:] != term[:-1]) | (entity[1:] != entity[:-1])
+    other = new.copy()
+    other[1:] |= passage[1:] != passage[:-1]
+    first = np.flatnonzero(new)
+    total, kinds = np.diff(first, append=term.size), np.add.reduceat(other, first)
+    any_terms, any_totals = term[first][entity[first] == ANY], total[entity[first] == ANY]
+    keep = (entity[first] != ANY) & (kinds >= support)
+    of = np.searchsorted(any_terms, term[first][keep])
+    return pd.DataFrame({"entity": entity[first][keep], "term": term[first][keep], "n_pair": total[keep], "n_any": any_totals[of]})
 
 
 def term_counts(df: DataFrame, candidates: DataFrame, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,10 +329,14 @@ def revealing(
     entities = cut(supported(base.select(F.explode("entities").alias("x")).select("x.entity", "x.passage"), "entity").select("entity", F.col("total").alias("n_entity")))
     total = float(max(base.count(), 2))
     log_total = math.log(total)
-    # a pair's evidence is at most its documents times the entity's information
-    most = F.col("n_pair") * (F.lit(log_total) - F.log("n_entity"))
-    both = supported(pairs(df, entities, passage, bits, id_col, text_col), "entity", "term").select("entity", "term", F.col("total").alias("n_pair"))
-    both = cut(both.join(F.broadcast(entities) if _few(entities) else entities, "entity").filter(most >= log_total + margin))
+    docs = base.filter(F.size("entities") > 0).count()
+    buckets = 1 << max(4, (docs * PAIRS // BUCKET).bit_length())
+    linked = pairs(df, entities, buckets, passage, bits, id_col, text_col).groupBy("bucket").applyInPandas(lambda pdf: _supported_pairs(pdf, support), "entity long, term long, n_pair long, n_any long")
+    # a term stands in as many documents at least as have any entity, so these bounds lose no pair
+    known = linked.join(F.broadcast(entities) if _few(entities) else entities, "entity")
+    most = F.log(F.col("n_pair") / F.col("n_any")) + F.lit(log_total) - F.log("n_entity")
+    most_ic = F.lit(log_total) - F.log("n_entity")
+    both = cut(known.filter((most >= disclosure * most_ic - 1e-9) & (F.col("n_pair") * most >= log_total + margin - 1e-9)).drop("n_any"))
     counts = term_counts(df, both.select("term"), bits, id_col, text_col)
     out = both.join(counts, "term")
     pmi = F.log(F.least(F.col("n_pair") / F.col("n"), F.lit(1.0)) * total / F.col("n_entity"))
