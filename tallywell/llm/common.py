@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 REPO = str(Path(__file__).resolve().parents[2])
 
 BATCH = 8 << 20
+_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 _LIMIT, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
@@ -27,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ready(spark: SparkSession) -> None:
     """Let Python workers import this package, bound the batches they get, and have a checkpoint folder.
 
-    Batches of rows end at BATCH bytes unless the session says otherwise: ten thousand long texts would fill a
+    Workers live on between stages, so large arrays are to go back to the system when they are freed. Batches of rows end at BATCH bytes unless the session says otherwise: ten thousand long texts would fill a
     worker. A cluster names its shared folder in spark.checkpoint.dir; only in a local run where that is unset a
     temporary one is made, as on a cluster no other machine could read it.
     """
@@ -35,6 +36,8 @@ def ready(spark: SparkSession) -> None:
     paths = sc.environment.get("PYTHONPATH", "")
     if REPO not in paths.split(os.pathsep):
         sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, paths) if x)
+    for name, value in _MEMORY.items():
+        sc.environment.setdefault(name, value)
     if spark.conf.get(_LIMIT) == _DEFAULT:
         spark.conf.set(_LIMIT, str(BATCH))
     if sc._jsc.sc().getCheckpointDir().isEmpty():

@@ -45,10 +45,12 @@ def encoder(path: str):
     import tiktoken
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(path)
+    @functools.cache
+    def whole() -> Tokenizer:  # tens of megabytes that few workers need
+        return Tokenizer.from_file(path)
 
     def by_library(text: str) -> list[int]:
-        return whole.encode(text, add_special_tokens=False).ids
+        return whole().encode(text, add_special_tokens=False).ids
 
     with open(path) as f:
         file = json.load(f)

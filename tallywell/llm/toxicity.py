@@ -45,7 +45,7 @@ LEAST_Z = 5.0
 FALSE_ALARMS = 0.01
 SKETCH = 8
 ROUNDS = 2
-MEMORY = 1 << 17  # words whose distance a worker remembers
+MEMORY = 1 << 16  # words whose distance a worker remembers
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
