@@ -1,6 +1,7 @@
 import os
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -18,6 +19,7 @@ def test_queries_match_sql(spark):
     for name, sql in driver_queries.oracle_sql().items():
         got, want = driver_queries.queries()[name](spark, SF).toPandas(), con.execute(sql).df()
         assert sorted(got.columns) == sorted(want.columns), name
-        key = lambda df: sorted((tuple("" if pd.isna(v) else round(float(v), 6) if isinstance(v, float) else str(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False)), key=str)
-        assert [tuple(map(str, r)) for r in key(got)] == [tuple(map(str, r)) for r in key(want)] or str(key(got)).replace(".0", "") == str(key(want)).replace(".0", ""), name
+        plain = lambda v: "" if pd.isna(v) else str(round(float(v), 6)) if isinstance(v, (int, float, np.number)) else str(v)
+        key = lambda df: sorted(tuple(map(plain, r)) for r in df[sorted(df.columns)].itertuples(index=False))
+        assert key(got) == key(want), name
     assert entry.entry(spark).count() > 0 and set(driver_queries.queries()) <= set(entry.queries())
