@@ -1,11 +1,13 @@
 """Quality rules with an n-gram perplexity: a modified Kneser-Ney model per language, counted by Spark.
 
-Each language has an alphabet of its own: the LETTERS code points that its texts use most have a class each, and
-the others fold by kind (capitals, digits, symbols, all else), so Cyrillic, Greek or Thai letters are told apart
-as Latin ones are. With 64 classes a language has at most 64^3 trigrams, whatever the input's size: tasks count
-with arrays over the documents that pass the base rules, Spark adds the counts, one task a language smooths them,
-and the model is kept as sorted arrays of hashes with their log probabilities and back-off weights (12 bytes an
-entry, 3 MB a language at most; the driver and every worker hold one such set a language). A document's perplexity
+Each language has an alphabet of its own: every code point that its texts use has a class, but for capitals,
+digits and symbols, which fold by kind, so Cyrillic, Thai or Chinese characters are told apart as Latin ones are.
+The LETTERS commonest have the lowest classes: a language with no more has at most 64^3 trigrams, which tasks count
+in arrays; the trigrams of a larger alphabet are counted by sorting, and sent on whenever a task holds SPARSE of
+them. Only documents that pass the base rules count. Spark adds the counts, one task a language smooths them, and
+the model is kept as sorted arrays of hashes with their log probabilities and back-off weights (12 bytes an entry;
+the driver and every worker hold one such set a language: 3 MB at most for up to LETTERS code points, else as many
+entries as the texts have different trigrams, pairs and characters). A document's perplexity
 must lie between its language's lower and upper limits, robust limits about the median over all documents that
 pass the base rules: text that is far too predictable (repetition) or far too strange (symbols, shouting, binary,
 another language) is rejected. Word order beyond three characters does not count.
@@ -26,15 +28,16 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.llm.common import cut, fresh, mix, ready, rows_to_batch
 from tallywell.llm.words import windows, words
 
 CLASSES = 64
-LETTERS = 59  # code points with a class of their own; the class 0 is a text's end
+LETTERS = 59  # code points with a class below CLASSES, further ones have those from there; the class 0 is a text's end
 CAPITAL, DIGIT, SYMBOL, OTHER = 60, 61, 62, 63
+SPARSE = 1 << 20  # different trigrams of large alphabets that a task holds
 LANGUAGES = 64  # whose counts or tables a task holds at once
 RARE = 20  # documents that a language has at least for a model of its own
 MIN_WORDS = 20
@@ -61,12 +64,23 @@ def folded() -> np.ndarray:
     return out
 
 
+def size_of(alphabet: tuple[int, ...]) -> int:
+    """The number of classes."""
+    return CLASSES + max(0, len(alphabet) - LETTERS)
+
+
+def bits_of(alphabet: tuple[int, ...]) -> int:
+    """Of a class within a code: 6, or up to 21 for more than LETTERS code points."""
+    return (size_of(alphabet) - 1).bit_length()
+
+
 @functools.lru_cache(maxsize=LANGUAGES)
 def classes(alphabet: tuple[int, ...]) -> np.ndarray:
     """The class of each code point for a language with this alphabet."""
-    out = folded().copy()
+    out = folded().astype(np.min_scalar_type(size_of(alphabet) - 1))
     out[out == 0] = OTHER
-    out[list(alphabet)] = np.arange(1, len(alphabet) + 1)
+    at = np.arange(len(alphabet))
+    out[list(alphabet)] = np.where(at < LETTERS, at + 1, at - LETTERS + CLASSES)
     return out
 
 
@@ -78,9 +92,9 @@ def codes(texts: list[str], alphabet: tuple[int, ...]) -> tuple[np.ndarray, np.n
     """(trigram codes, first): one code for each character of each text and one for its end."""
     table = classes(alphabet)
     raw = [points(t) for t in texts]
-    pad = np.zeros(2, np.uint8)
-    data = np.concatenate([pad, *(x for r in raw for x in (table[r], pad))]).astype(np.int32)[:-1]
-    code = (data[:-2] << 12) | (data[1:-1] << 6) | data[2:]
+    pad, b = np.zeros(2, table.dtype), bits_of(alphabet)
+    data = np.concatenate([pad, *(x for r in raw for x in (table[r], pad))]).astype(np.int32 if b == 6 else np.int64)[:-1]
+    code = (data[:-2] << 2 * b) | (data[1:-1] << b) | data[2:]
     size = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
     first = np.concatenate([[0], np.cumsum(size)])
     keep = np.ones(code.size, bool)
@@ -114,54 +128,87 @@ def _runs(batches, known: dict[str | None, int], size: int = 1 << 18):
             yield ids[a:], langs[a:], texts[a:]
 
 
-def _summed(df: DataFrame, known: dict[str | None, int], width: int, count, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """lang, code, n over all documents, where count(lang, texts) gives the codes' numbers; each task sends a
-    language's code once, or again after some others."""
+class _Sparse:
+    """Counts of codes without a bound, by sorting."""
+
+    def __init__(self):
+        self.parts, self.size = [], 0
+
+    def add(self, code: np.ndarray) -> None:
+        self.parts.append(np.unique(code, return_counts=True))
+        self.size += self.parts[-1][0].size
+
+    def pack(self) -> None:
+        self.parts = [self.sums()]
+        self.size = self.parts[0][0].size
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        code, inverse = np.unique(np.concatenate([c for c, _ in self.parts]), return_inverse=True)
+        n = np.zeros(code.size, np.int64)
+        np.add.at(n, inverse, np.concatenate([n for _, n in self.parts]))
+        return code, n
+
+
+def _summed(df: DataFrame, known: dict[str | None, int], width: int, count, id_col: str, text_col: str, lang_col: str, sparse: frozenset[int] = frozenset()) -> DataFrame:
+    """lang, code, n over all documents, where count(lang, texts) gives the codes' numbers, below width but for the
+    ``sparse`` languages; each task sends a language's code once, or again after some others."""
     ready(df.sparkSession)
-    schema = pa.schema([("lang", pa.int32()), ("code", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("lang", pa.int32()), ("code", pa.int64()), ("n", pa.int64())])
     held = max(1, LANGUAGES * CLASSES**3 // width)  # languages that a task counts at once
 
     def sent(total):
         for lang, n in total.items():
-            code = np.flatnonzero(n)
-            yield rows_to_batch(schema, [np.full(code.size, lang, np.int32), code.astype(np.int32), n[code]])
+            code, n = n.sums() if isinstance(n, _Sparse) else (at := np.flatnonzero(n), n[at])
+            for k in range(0, code.size, CLASSES**3):
+                own = code[k : k + CLASSES**3]
+                yield rows_to_batch(schema, [np.full(own.size, lang, np.int32), own, n[k : k + CLASSES**3]])
 
     def run(batches):
         total: dict[int, np.ndarray] = {}
+        wide: dict[int, _Sparse] = {}
         for _, langs, texts in _runs(batches, known):
             by: dict[int, list[str]] = {}
             for lang, t in zip(langs, texts):
                 by.setdefault(lang, []).append(t)
             for lang, own in by.items():
-                if lang not in total:
+                if lang not in sparse and lang not in total:
                     if len(total) >= held:
                         yield from sent(total)
                         total = {}
                     total[lang] = np.zeros(width, np.int64)
                 for code in count(lang, own):
-                    if code.size < width // 16:
+                    if lang in sparse:
+                        wide.setdefault(lang, _Sparse()).add(code)
+                    elif code.size < width // 16:
                         at, n = np.unique(code, return_counts=True)
                         total[lang][at] += n
                     else:
                         total[lang] += np.bincount(code, minlength=width)
+            if sum(x.size for x in wide.values()) >= SPARSE:
+                for x in wide.values():
+                    x.pack()
+                if sum(x.size for x in wide.values()) >= SPARSE // 2:
+                    yield from sent(wide)
+                    wide = {}
         yield from sent(total)
+        yield from sent(wide)
 
-    return _read(df, id_col, text_col, lang_col).mapInArrow(run, "lang int, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    return _read(df, id_col, text_col, lang_col).mapInArrow(run, "lang int, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
 def alphabets(df: DataFrame, known: dict[str | None, int], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[int, tuple[int, ...]]:
-    """Each language's LETTERS most used code points of those that no class folds, in order."""
+    """Each language's code points but those that every alphabet folds: the LETTERS most used in order, then all
+    others in order. The driver gets a row for each."""
 
     def count(lang: int, texts: list[str]):
         own = points("".join(texts))
         yield own[folded()[own] == 0].astype(np.int64)
 
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))  # at most POINTS rows a language
-    rows = _summed(df, known, POINTS, count, id_col, text_col, lang_col).withColumn("rank", rank).filter(F.col("rank") <= LETTERS)
-    out: dict[int, list[int]] = {}
-    for r in rows.collect():
-        out.setdefault(r["lang"], []).append(r["code"])
-    return {lang: tuple(sorted(x)) for lang, x in out.items()}
+    out: dict[int, list[tuple[int, int]]] = {}
+    for r in _summed(df, known, POINTS, count, id_col, text_col, lang_col).collect():
+        out.setdefault(r["lang"], []).append((-r["n"], r["code"]))
+    ranked = {lang: [c for _, c in sorted(x)] for lang, x in out.items()}
+    return {lang: (*sorted(x[:LETTERS]), *sorted(x[LETTERS:])) for lang, x in ranked.items()}
 
 
 def counts(df: DataFrame, known: dict[str | None, int], letters: dict[int, tuple[int, ...]], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -172,7 +219,8 @@ def counts(df: DataFrame, known: dict[str | None, int], letters: dict[int, tuple
         if good:
             yield codes(good, letters.get(lang, ()))[0]
 
-    return _summed(df, known, CLASSES**3, count, id_col, text_col, lang_col)
+    large = frozenset(lang for lang, x in letters.items() if len(x) > LETTERS)
+    return _summed(df, known, CLASSES**3, count, id_col, text_col, lang_col, large)
 
 
 # --- the model
@@ -188,7 +236,9 @@ class Model(NamedTuple):
 
 
 def _key(lang: int, order: int, code: np.ndarray) -> np.ndarray:
-    return mix((np.uint64(lang) << np.uint64(32)) | (np.uint64(order) << np.uint64(24)) | code.astype(np.uint64))
+    """The leading bits tell the order, so that no two n-grams of a language share a key."""
+    mark = np.uint64((0b111 << 61, 0b11 << 62, 0b1 << 63, 0)[order])
+    return mix((code.astype(np.uint64) | mark) ^ mix(np.uint64([lang])))
 
 
 def _discounts(n: np.ndarray) -> tuple[float, float, float]:
@@ -201,43 +251,36 @@ def _discounts(n: np.ndarray) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k) for d, k in zip(raw, (0.95, 1.9, 2.9)))  # type: ignore[return-value]
 
 
-def _smoothed(n: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, back-off weights) of counts n[context, next] over the lower order's probabilities."""
-    d1, d2, d3 = _discounts(n[n > 0])
-    take = np.select([n == 0, n == 1, n == 2], [0.0, d1, d2], d3)
-    total = n.sum(-1, keepdims=True).astype(float)
-    back = np.where(total > 0, take.sum(-1, keepdims=True) / np.maximum(total, 1), 1.0)
-    return (n - take) / np.maximum(total, 1) + back * lower, back[..., 0]
-
-
-def smooth(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One language's probabilities by order, and back-off weights, from its trigram counts."""
-    three = np.zeros(CLASSES**3, np.int64)
-    three[code] = n
-    three = three.reshape(CLASSES, CLASSES, CLASSES)
-    two = (three > 0).sum(0)  # in how many left contexts a pair occurs
-    one = (two > 0).sum(0)
-    p1, b0 = _smoothed(one[None, :], np.full(CLASSES, 1 / CLASSES))
-    p2, b1 = _smoothed(two, p1)
-    p3, b2 = _smoothed(three, p2[None, :, :])
-    return three, two, one, p3, p2, p1[0], b2, b1, b0
-
-
-def model_of(lang: int, code: np.ndarray, n: np.ndarray) -> Model:
-    """One language's model: seen n-grams with their probability, contexts with their weight, each by hash."""
-    three, two, one, p3, p2, p1, b2, b1, b0 = smooth(code, n)
+def _smoothed(code: np.ndarray, n: np.ndarray, b: int, lower) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(probabilities, contexts, their back-off weights) of sorted codes (context, next) with counts n over the lower
+    order's probabilities."""
+    take = np.select([n == 1, n == 2], _discounts(n)[:2], _discounts(n)[2])
+    context = code >> b
+    first = np.flatnonzero(np.diff(context, prepend=-1))
+    size = np.diff(first, append=code.size)
+    total = np.add.reduceat(n, first).astype(float)
+    back = np.add.reduceat(take, first) / total
+    return (n - take) / np.repeat(total, size) + np.repeat(back, size) * lower, context[first], back
+
+
+def model_of(lang: int, code: np.ndarray, n: np.ndarray, b: int = 6, size: int = CLASSES) -> Model:
+    """One language's model from its trigram counts: seen n-grams with their probability, contexts with their
+    weight, each by hash. b: bits of a class, size: number of classes."""
+    by = np.argsort(code, kind="stable")
+    three, n3 = code[by].astype(np.int64), n[by]
+    two, n2 = np.unique(three & ((1 << 2 * b) - 1), return_counts=True)  # in how many left contexts a pair occurs
+    one, n1 = np.unique(two & ((1 << b) - 1), return_counts=True)
+    p1, c0, b0 = _smoothed(one, n1, b, 1 / size)
+    p2, c1, b1 = _smoothed(two, n2, b, p1[np.searchsorted(one, two & ((1 << b) - 1))])
+    p3, c2, b2 = _smoothed(three, n3, b, p2[np.searchsorted(two, three & ((1 << 2 * b) - 1))])
 
     def ordered(tables):
-        keys, values = [], []
-        for order, on, v in tables:
-            at = np.flatnonzero(on.ravel())
-            keys.append(_key(lang, order, at))
-            values.append(np.log2(v.ravel()[at]))
-        k, v = np.concatenate(keys), np.concatenate(values)
+        k = np.concatenate([_key(lang, order, at) for order, at, _ in tables])
+        v = np.concatenate([np.log2(v) for *_, v in tables])
         by = np.argsort(k)
         return k[by], v[by].astype(np.float32)
 
-    return Model(*ordered(((3, three, p3), (2, two, p2), (1, one, p1))), *ordered((o, b != 1.0, b) for o, b in ((2, b2), (1, b1), (0, b0))))
+    return Model(*ordered(((3, three, p3), (2, two, p2), (1, one, p1))), *ordered(((2, c2, b2), (1, c1, b1), (0, c0, b0))))
 
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -248,17 +291,17 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.
     return hit, np.where(hit, values[at], np.float32(0))
 
 
-def log_probability(m: Model, lang: int, code: np.ndarray) -> np.ndarray:
+def log_probability(m: Model, lang: int, code: np.ndarray, b: int = 6, size: int = CLASSES) -> np.ndarray:
     """log2 p of each trigram code: the longest seen n-gram's, after the back-off weights of longer contexts."""
     out = np.zeros(code.size, np.float64)
     left = np.arange(code.size)
     for order in (3, 2, 1):
-        own = code[left] & ((1 << (6 * order)) - 1)
+        own = code[left] & ((1 << (b * order)) - 1)
         hit, value = _find(m.grams, m.log_p, _key(lang, order, own))
         out[left[hit]] += value[hit]
         left, own = left[~hit], own[~hit]
-        out[left] += _find(m.contexts, m.log_back, _key(lang, order - 1, own >> 6))[1]
-    out[left] -= np.log2(CLASSES)
+        out[left] += _find(m.contexts, m.log_back, _key(lang, order - 1, own >> b))[1]
+    out[left] -= np.log2(size)
     return out
 
 
@@ -271,20 +314,30 @@ class Rules(NamedTuple):
 
 
 class Scorer:
-    """Looks each language's codes up in its sorted arrays once, then reads its table; beyond LANGUAGES tables, the
-    texts' own codes are looked up."""
+    """Looks the codes of each language's CLASSES lowest classes up in its sorted arrays once, then reads its table;
+    other codes, and all those beyond LANGUAGES tables, are looked up where they occur."""
 
     def __init__(self, rules: Rules):
         self.rules, self.tables = rules, {}
 
     def bits(self, lang: int, code: np.ndarray) -> np.ndarray:
+        letters = self.rules.letters.get(lang, ())
+        b, size = bits_of(letters), size_of(letters)
         if lang not in self.rules.models:
-            return np.full(code.size, -np.log2(CLASSES), np.float32)
+            return np.full(code.size, -np.log2(size), np.float32)
+        look = lambda x: log_probability(self.rules.models[lang], lang, x, b, size).astype(np.float32)
         if lang not in self.tables:
             if len(self.tables) >= LANGUAGES:
-                return log_probability(self.rules.models[lang], lang, code).astype(np.float32)
-            self.tables[lang] = log_probability(self.rules.models[lang], lang, np.arange(CLASSES**3)).astype(np.float32)
-        return self.tables[lang][code]
+                return look(code)
+            low = np.arange(CLASSES, dtype=np.int64)
+            self.tables[lang] = look(((low[:, None, None] << 2 * b) | (low[:, None] << b) | low).ravel())
+        if b == 6:
+            return self.tables[lang][code]
+        x, y, z = code >> 2 * b, code >> b & (1 << b) - 1, code & (1 << b) - 1
+        own = (x | y | z) < CLASSES
+        out = self.tables[lang][np.where(own, x << 12 | y << 6 | z, 0)]
+        out[~own] = look(code[~own])
+        return out
 
     def log_perplexity(self, langs: list[int], texts: list[str]) -> np.ndarray:
         """log2 of each text's perplexity per character, its end included."""
@@ -314,9 +367,11 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     known = numbers(df, lang_col)
     letters = alphabets(df, known, id_col, text_col, lang_col)
 
-    def smoothed(pdf: pd.DataFrame) -> pd.DataFrame:  # at most 64^3 rows
+    sizes = {lang: (bits_of(x), size_of(x)) for lang, x in letters.items()}
+
+    def smoothed(pdf: pd.DataFrame) -> pd.DataFrame:  # a language's different trigrams
         lang = int(pdf["lang"].iloc[0])
-        m = model_of(lang, pdf["code"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64))
+        m = model_of(lang, pdf["code"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), *sizes.get(lang, ()))
         return pd.DataFrame([(lang, *(x.tobytes() for x in m))], columns=["lang", *Model._fields])
 
     rows = counts(df, known, letters, id_col, text_col, lang_col).groupBy("lang").applyInPandas(smoothed, "lang int, grams binary, log_p binary, contexts binary, log_back binary").collect()

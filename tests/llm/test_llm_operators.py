@@ -184,6 +184,68 @@ def test_quality_beyond_the_tables_held(monkeypatch):
     assert quality.Scorer(rules).log_perplexity([0, 1], ["abra", "band"]) == pytest.approx(whole)
 
 
+def test_quality_alphabets_hold_every_code_point(spark):
+    """Characters beyond the LETTERS commonest have classes of their own too: a text that puts them in strange places
+    has a higher perplexity, and models of large alphabets match those of small ones."""
+    rng = np.random.default_rng(21)
+    stems = [chr(0x4E00 + 4 * k) + chr(0x4E01 + 4 * k) + chr(0x4E02 + 4 * k) for k in range(100)]
+    texts = [" ".join(rng.choice(stems, 60)) for _ in range(80)]
+    turned = [" ".join(x[::-1] for x in t.split()) for t in texts[:2]]
+    df = frame(spark, texts + turned + ["short"])
+    known = quality.numbers(df)
+    letters = quality.alphabets(df, known)
+    use = Counter(c for t in [*texts, *turned, "short"] for c in t)
+    assert set(letters[1]) == {ord(c) for c in use} and len(letters[1]) > 300
+    assert set(letters[1][:59]) == {ord(c) for c in sorted(use, key=lambda c: (-use[c], c))[:59]}
+    n = Counter()
+    for t in texts + turned:
+        n.update(quality.codes([t], letters[1])[0].tolist())
+    assert {r["code"]: r["n"] for r in quality.counts(df, known, letters).collect()} == n
+    b, size = quality.bits_of(letters[1]), quality.size_of(letters[1])
+    m = quality.model_of(1, *map(np.array, zip(*n.items())), b, size)
+    place = {c: k for k, c in enumerate(letters[1])}
+    own = [k + 1 if (k := place[ord(c)]) < 59 else k + 5 for c in stems[7]]
+    for x, y in (own[:2], own[1:], (own[2], own[0]), (0, 0)):
+        assert np.exp2(quality.log_probability(m, 1, (x << 2 * b | y << b) + np.arange(size), b, size)).sum() == pytest.approx(1, rel=1e-4)
+    rules = quality.Rules(known, letters, {1: m})
+    seen = quality.Scorer(rules).log_perplexity([1, 1], [texts[0], turned[0]])
+    plain = [-quality.log_probability(m, 1, quality.codes([t], letters[1])[0], b, size).mean() for t in (texts[0], turned[0])]
+    assert seen == pytest.approx(plain, rel=1e-5)
+    kept = {r["doc_id"] for r in quality.judged(df).filter("kept").collect()}
+    assert len(kept & set(range(80))) >= 78 and 82 not in kept
+    assert {r["doc_id"] for r in quality.good_rows(df).collect()} == kept
+    m = quality.model_of(1, *np.unique(quality.codes(texts, letters[1])[0], return_counts=True), b, size)
+    usual, strange = quality.Scorer(quality.Rules(known, letters, {1: m})).log_perplexity([1, 1], [texts[0], turned[0]])
+    assert strange > usual + 3
+
+
+def test_quality_sparse_counts_are_sent_on(spark, monkeypatch):
+    """A task that holds many different trigrams sends them on; the sums stay the same."""
+    texts = ["".join(chr(0x4E00 + (k * j) % 500) for j in range(900)) for k in range(1, 12)]
+    df = frame(spark, texts * 3)
+    batches = [b for b in quality._read(df, "doc_id", "text", "lang").toArrow().to_batches(max_chunksize=2)]
+    found, n = Counter(), 0
+
+    class Read:
+        sparkSession = df.sparkSession
+
+        def mapInArrow(self, run, schema):
+            nonlocal n
+            for out in run(batches):
+                n += out.num_rows
+                for c, k in zip(out.column("code").to_pylist(), out.column("n").to_pylist()):
+                    found[c] += k
+            raise StopIteration
+
+    monkeypatch.setattr(quality, "SPARSE", 1000)
+    monkeypatch.setattr(quality, "_read", lambda *a: Read())
+    letters = tuple(range(0x4E00, 0x4E00 + 500))
+    with pytest.raises(StopIteration):
+        quality._summed(Read(), {}, 64**3, lambda lang, own: [quality.codes(own, letters)[0]], "doc_id", "text", "lang", frozenset([0]))
+    want = Counter(quality.codes(texts * 3, letters)[0].tolist())
+    assert found == want and n > len(want)
+
+
 def test_kneser_ney_matches_dictionaries():
     texts = ["abracadabra", "abcabcabd", "ab"]
     code, first = quality.codes(texts, LETTERS)
