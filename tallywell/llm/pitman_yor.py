@@ -2,10 +2,8 @@
 
 Each context is a restaurant whose dishes are tokens; its tables send customers to one parent restaurant that all
 contexts share, whose own tables draw from a uniform base over the vocabulary and one unknown token. A context is
-the token before, where that token makes up a 2,000th of the training tokens or more (the FREQUENT commonest of
-them), else one of CLASSES hashed classes of rarer tokens, or a text's beginning. So frequent words, which precede
-most of the text, predict by themselves, and a pair's context is one byte: restaurants keyed by every token would
-have twice the pairs in a block and need more disk than the limit (figures in the README).
+the token before, whichever it is; before a text's first token stands its predecessor's end. So every context is a
+token, and has as many customers as the token has training occurrences.
 
 Seatings follow the Chinese restaurant process and are sampled by Gibbs sweeps. Only the number of tables of each
 dish matters for prediction, so a sweep draws it anew for every dish of every restaurant, given the tables of all
@@ -14,15 +12,17 @@ their saddlepoint approximation beyond, at a cost that does not grow with the co
 over the last sweeps.
 
 One pass over the texts makes blocks: each block's distinct (token, context) pairs with training counts, cut into
-hash buckets. A bucket holds every restaurant's customers of its tokens, so all of a token's seatings are resampled
-in one task; what it needs of the other buckets are totals per context: estimated from its own share in the first
-sweeps, and exact sums of all buckets in the last ones. Its answers go back to each block in the block's own order,
-without the tokens; a second pass over the texts meets them there. The number of buckets depends on the bytes of
-text only and every order is by value, so scores do not depend on how the rows are laid out.
+hash buckets by token. A piece lists its contexts once, the FREQUENT commonest tokens by number, the others by their
+64-bit hash. A bucket holds every restaurant's customers of its tokens, so all of a token's seatings are resampled
+in one task; what it needs of the other buckets are totals per context. The first sweeps estimate them from its own
+part; then every bucket sends each context's tables to the bucket that owns the context's token, which sends back
+exact sums for the last sweeps. The averaged tables go to the owners again, who answer each block in the block's own
+order, without the tokens: per token the parent's term, the training count and the tables of the context that it is,
+per pair the pair's term. A second pass over the texts meets them there. The number of buckets depends on the bytes
+of text only and every order is by value, so scores do not depend on how the rows are laid out.
 
 Null texts have one token, the end. An empty table gives an empty one; without training rows every token is
-unknown. Repeated rows get equal scores; of equally frequent contexts the lower hash comes first. Only the id and
-text columns are read.
+unknown. Repeated rows get equal scores. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -41,11 +41,8 @@ from pyspark.sql import functions as F
 from tallywell.llm.common import cut, id_crc, id_text, ready, rows_to_batch, signed, texts_of
 from tallywell.llm.words import words
 
-FREQUENT = 190  # tokens that are contexts of their own
+FREQUENT = 190  # tokens that stand by number in lists of contexts
 SHARE = 2000  # of the training tokens, a part that such a token makes up at least
-CLASSES = 64  # of the other tokens
-START = FREQUENT + CLASSES
-CONTEXTS = START + 1
 END = np.uint64(0x6A09E667F3BCC908)
 BLOCK = 8 << 20  # bytes of text
 BUCKET = 32 << 20  # bytes of text to a bucket
@@ -83,6 +80,15 @@ def _joined(planes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).ravel().view("<u4")
 
 
+def _ordered(hashes: np.ndarray) -> np.ndarray:
+    """Sorted 64-bit hashes by the byte places of their differences."""
+    return np.ascontiguousarray(np.diff(hashes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).ravel()
+
+
+def _hashes(planes: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).ravel().view(np.uint64), dtype=np.uint64)
+
+
 # --- contexts
 
 
@@ -110,7 +116,7 @@ def _blocks(batches, block_bytes: int):
 
 
 def frequent(rows: DataFrame, block_bytes: int = BLOCK) -> np.ndarray:
-    """The sorted hashes of the tokens that are contexts of their own.
+    """The sorted hashes of the tokens that lists of contexts hold by number, which changes no score.
 
     A token with a share of the corpus has that share in some block: each block reports those with half the share,
     and whoever has less than half in reports lacks the share. The at most 2 x SHARE others are counted exactly.
@@ -149,29 +155,28 @@ def frequent(rows: DataFrame, block_bytes: int = BLOCK) -> np.ndarray:
 class Block(NamedTuple):
     token: np.ndarray  # distinct, in order
     per_token: np.ndarray  # pairs of each token
-    context: np.ndarray  # of each pair
+    context: np.ndarray  # of each pair: the place in token of the one before
     count: np.ndarray  # of each pair, in training texts
-    pair: np.ndarray  # of each token of the texts
+    number: np.ndarray  # of each token: its place among the common ones, or how many they are
 
 
-def contexts(code: np.ndarray, size: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The context of each token."""
-    out = np.empty(code.size, np.int64)
-    before = code[:-1]
-    own = (before >> np.uint64(58)).astype(np.int64) + FREQUENT
-    if common.size:
-        at = np.minimum(np.searchsorted(common, before), common.size - 1)
-        own = np.where(common[at] == before, at, own)
-    out[1:] = own
-    out[np.cumsum(size) - size] = START
+def before(inverse: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
+    """The token before each token; end before the first of a text."""
+    out = np.empty_like(inverse)
+    out[1:] = inverse[:-1]
+    out[np.cumsum(size) - size] = end
     return out
 
 
 def block(code: np.ndarray, size: np.ndarray, train: np.ndarray, common: np.ndarray) -> Block:
     token, inverse = np.unique(code, return_inverse=True)
-    pairs, pair = np.unique(inverse * CONTEXTS + contexts(code, size, common), return_inverse=True)
+    pairs, pair = np.unique(inverse * token.size + before(inverse, size, int(np.searchsorted(token, END))), return_inverse=True)
     count = np.bincount(pair, weights=np.repeat(train, size), minlength=pairs.size).astype(np.uint32)
-    return Block(token, np.bincount(pairs // CONTEXTS, minlength=token.size).astype(np.uint8), (pairs % CONTEXTS).astype(np.uint8), count, pair.astype(np.uint32))
+    number = np.full(token.size, common.size, np.uint8)
+    if common.size:
+        at = np.minimum(np.searchsorted(common, token), common.size - 1)
+        number = np.where(common[at] == token, at, common.size).astype(np.uint8)
+    return Block(token, np.bincount(pairs // token.size, minlength=token.size), pairs % token.size, count, number)
 
 
 def _bounds(token: np.ndarray, buckets: int) -> np.ndarray:
@@ -189,20 +194,23 @@ def parts(rows: DataFrame, common: np.ndarray, buckets: int, of_texts: bool, blo
     def run(batches):
         for n, (ids, code, size) in enumerate(_blocks(batches, block_bytes)):
             train = _trains(ids)
-            b = block(code, size, train, common)
-            name, bounds = (TaskContext.get().partitionId() << 24) | n, _bounds(b.token, buckets)
+            name = (TaskContext.get().partitionId() << 24) | n
             mark = int(signed((code * np.arange(1, 2 * code.size, 2, dtype=np.uint64)).sum(keepdims=True))[0])
             if of_texts:
                 whole = np.array([-1 if i is None else i for i in ids], np.int64)
                 null = np.array([i is None for i in ids], bool)
-                out = [(name, -1, mark, _pack(whole, null, train, size.astype(np.int64), b.per_token, b.context, _planes(b.pair), np.diff(bounds)))]
+                token, inverse = np.unique(code, return_inverse=True)
+                end = np.searchsorted(token, np.array([END]))
+                out = [(name, -1, mark, _pack(whole, null, train, size.astype(np.int64), end, _planes(inverse), np.diff(_bounds(token, buckets))))]
             else:
-                ends = np.concatenate([[0], np.cumsum(b.per_token, dtype=np.int64)])
-                out = []
+                b = block(code, size, train, common)
+                bounds, ends, out = _bounds(b.token, buckets), np.concatenate([[0], np.cumsum(b.per_token)]), []
                 for k in np.flatnonzero(np.diff(bounds)).tolist():
                     s, e = int(bounds[k]), int(bounds[k + 1])
                     p, q = int(ends[s]), int(ends[e])
-                    out.append((name, k, mark, _pack(b.token[s:e], b.per_token[s:e], b.context[p:q], _planes(b.count[p:q]))))
+                    own, at = np.unique(b.context[p:q], return_inverse=True)
+                    others = b.token[own[b.number[own] == common.size]]
+                    out.append((name, k, mark, _pack(_ordered(b.token[s:e]), _planes(b.per_token[s:e]), b.number[own], _ordered(others), _planes(at), _planes(b.count[p:q]))))
             if out:
                 yield rows_to_batch(schema, list(zip(*out)))
 
@@ -315,7 +323,7 @@ class Sums(NamedTuple):
     """Totals over all buckets, or estimates of them."""
 
     types: float
-    customers: np.ndarray  # by context
+    customers: np.ndarray  # by context, of those at hand
     tables: np.ndarray
     parent_customers: float
     parent_tables: float
@@ -325,7 +333,7 @@ class Seating:
     """The tables of a bucket's dishes. token: each pair's."""
 
     def __init__(self, token: np.ndarray, context: np.ndarray, count: np.ndarray, n_tokens: int, rng: np.random.Generator):
-        self.n, self.rng = n_tokens, rng
+        self.n, self.rng, self.contexts = n_tokens, rng, int(context.max(initial=-1)) + 1
         self.own = np.flatnonzero(count > 0)
         self.w, self.u, self.c = token[self.own], context[self.own].astype(np.int64), count[self.own].astype(np.int64)
         self.t = np.ceil(self.c ** (DISCOUNT / 2)).astype(np.int64)
@@ -333,8 +341,10 @@ class Seating:
         self.t1 = np.ceil(self.c1 ** (DISCOUNT_1 / 2)).astype(np.int64)
 
     def sums(self, share: float = 1.0) -> Sums:
-        by = lambda x: share * np.bincount(self.u, weights=x, minlength=CONTEXTS)
-        return Sums(share * float((self.c1 > 0).sum()), by(self.c), by(self.t), share * float(self.c1.sum()), share * float(self.t1.sum()))
+        by = lambda x: np.bincount(self.u, weights=x, minlength=self.contexts)
+        t = by(self.t)
+        # a context is looked at for a pair that it has here: the other shares have what it has here besides
+        return Sums(share * float((self.c1 > 0).sum()), share * by(self.c), share * t - (share - 1) * (t > 0), share * float(self.c1.sum()), share * float(self.t1.sum()))
 
     def sweep(self, all_: Sums) -> Sums:
         """One Gibbs sweep over the contexts' tables, then over the parent's; the totals with this bucket's changes."""
@@ -353,58 +363,96 @@ class Seating:
 
 # --- buckets
 
-_STATE = "bucket int, blob binary, blocks array<long>, marks array<long>, places array<binary>, types double, customers array<double>, tables array<double>, parent_customers double, parent_tables double"
-_SUMS = ["types", "customers", "tables", "parent_customers", "parent_tables"]
+_STATE = "bucket int, blob binary, tokens binary, blocks array<long>, marks array<long>, places array<binary>, sends array<binary>, types double, customers double, parent_customers double, parent_tables double"
+_SUMS = ["types", "customers", "parent_customers", "parent_tables"]
+
+
+def _total(rows: DataFrame) -> dict[str, float]:
+    """Sums over all buckets."""
+    r = rows.agg(*[F.sum(c).alias(c) for c in _SUMS]).first()
+    return {c: r[c] or 0.0 for c in _SUMS}
 
 
-def _total(rows: DataFrame) -> Sums:
-    """Sums over all rows, at most one of each bucket."""
-    many = [F.sum(F.get(c, F.lit(k))).alias(f"{c}{k}") for c in ("customers", "tables") for k in range(CONTEXTS)]
-    r = rows.agg(*many, *[F.sum(c).alias(c) for c in ("types", "parent_customers", "parent_tables")]).first()
-    arrays = {c: np.array([r[f"{c}{k}"] or 0.0 for k in range(CONTEXTS)]) for c in ("customers", "tables")}
-    return Sums(r["types"] or 0.0, arrays["customers"], arrays["tables"], r["parent_customers"] or 0.0, r["parent_tables"] or 0.0)
+def _scalars(s: Sums) -> tuple[float, ...]:
+    return s.types, float(s.customers.sum()), s.parent_customers, s.parent_tables
 
 
 def _deltas(x: np.ndarray) -> np.ndarray:
     return _planes(np.diff(x, prepend=0))
 
 
-def _gathered(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
-    """One bucket's pairs over all blocks, seated by the first sweeps, and where each block's stand among them."""
+def _sends(context: np.ndarray, values: np.ndarray, buckets: int) -> list[bytes | None]:
+    """For each bucket, the contexts whose tokens it owns, and their values."""
+    at = _bounds(context, buckets).tolist()
+    return [_pack(_ordered(context[a:b]), values[a:b].astype(np.float32)) if b > a else None for a, b in zip(at, at[1:])]
+
+
+def _gathered(pdf: pd.DataFrame, buckets: int, common: np.ndarray) -> pd.DataFrame:
+    """One bucket's pairs over all blocks, seated by the first sweeps, where each block's stand among them, and each
+    context's tables for the context's owner."""
     pdf = pdf.sort_values("block")
-    got = [_unpack(b, np.uint64, np.uint8, np.uint8, np.uint8) for b in pdf["blob"]]
-    token, inverse = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
-    owner = np.repeat(inverse, np.concatenate([g[1] for g in got]))
-    pairs, pair = np.unique(owner * CONTEXTS + np.concatenate([g[2] for g in got]).astype(np.int64), return_inverse=True)
-    count = np.bincount(pair, weights=np.concatenate([_joined(g[3]) for g in got]), minlength=pairs.size).astype(np.int64)
-    bucket = int(pdf["bucket"].iloc[0])
-    s = Seating(pairs // CONTEXTS, pairs % CONTEXTS, count, token.size, np.random.default_rng(bucket))
+    tokens_, per_token, lists, at, counts = [], [], [], [], []
+    for b in pdf["blob"]:
+        t, per, number, others, place, n = _unpack(b, *[np.uint8] * 6)
+        hashes = np.empty(number.size, np.uint64)
+        rare = number == common.size
+        hashes[rare], hashes[~rare] = _hashes(others), common[number[~rare]]
+        for x, y in ((tokens_, _hashes(t)), (per_token, _joined(per)), (lists, hashes), (at, _joined(place)), (counts, _joined(n))):
+            x.append(y)
+    token, inverse = np.unique(np.concatenate(tokens_), return_inverse=True)
+    context, of_list = np.unique(np.concatenate(lists), return_inverse=True)
+    first = np.cumsum([0, *map(len, lists)])
+    pairs = np.repeat(inverse, np.concatenate(per_token)) * context.size
+    pairs += of_list[np.concatenate([x + k for x, k in zip(at, first.tolist())])]
+    pairs, pair = np.unique(pairs, return_inverse=True)
+    count = np.bincount(pair, weights=np.concatenate(counts), minlength=pairs.size).astype(np.int64)
+    bucket, owner, of = int(pdf["bucket"].iloc[0]), pairs // context.size, pairs % context.size
+    s = Seating(owner, of, count, token.size, np.random.default_rng(bucket))
     for _ in range(BURN):
         s.sweep(s.sums(buckets))
-    places, at, to = [], 0, 0
-    for g in got:
-        places.append(_pack(_deltas(inverse[at : at + g[0].size]), _deltas(pair[to : to + g[2].size])))
-        at, to = at + g[0].size, to + g[2].size
-    per_token = np.bincount(pairs // CONTEXTS, minlength=token.size).astype(np.uint8)
+    places, a, b = [], 0, 0
+    for t, p in zip(tokens_, at):
+        places.append(_pack(_deltas(inverse[a : a + t.size]), _deltas(pair[b : b + p.size])))
+        a, b = a + t.size, b + p.size
     tables = np.zeros(pairs.size, np.uint32)
     tables[s.own] = s.t
-    blob = _pack(per_token, (pairs % CONTEXTS).astype(np.uint8), count.astype(np.uint64), _planes(tables), _planes(s.t1))
+    blob = _pack(_planes(np.bincount(owner, minlength=token.size)), _planes(of), count.astype(np.uint64), _planes(tables), _planes(s.t1))
     sums = s.sums()
-    row = (bucket, blob, pdf["block"].tolist(), pdf["mark"].tolist(), places, sums.types, sums.customers.tolist(), sums.tables.tolist(), sums.parent_customers, sums.parent_tables)
-    return pd.DataFrame([row], columns=["bucket", "blob", "blocks", "marks", "places", *_SUMS])
+    row = (bucket, blob, _pack(_ordered(token)), pdf["block"].tolist(), pdf["mark"].tolist(), places, _sends(context, sums.tables, buckets), *_scalars(sums))
+    return pd.DataFrame([row], columns=["bucket", "blob", "tokens", "blocks", "marks", "places", "sends", *_SUMS])
+
+
+def _read_sends(pdf: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    got = [_unpack(b, np.uint8, np.float32) for b in pdf["blob"]]
+    return [_hashes(h) for h, _ in got], [v for _, v in got]
 
 
-_ANSWERS = "block long, bucket int, mark long, blob binary, types double, customers array<double>, tables array<double>, parent_customers double, parent_tables double"
+def _added(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The sums of an owner's contexts over all buckets, for each bucket in its own order."""
+    pdf = pdf.sort_values("bucket")
+    hashes, values = _read_sends(pdf)
+    _, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.bincount(inverse, weights=np.concatenate(values))
+    ends = np.cumsum([0, *map(len, hashes)]).tolist()
+    return pd.DataFrame({"bucket": pdf["bucket"], "owner": pdf["owner"], "blob": [_pack(total[inverse[a:b]].astype(np.float32)) for a, b in zip(ends, ends[1:])]})
 
 
-def _answered(r, total: Sums) -> pd.DataFrame:
-    """The last sweeps of a bucket, from the totals of all; what each block needs of it: per token the parent's term
-    and the training count, per pair its term. The first row has the bucket's averaged sums."""
-    per_token, context, count, tables, parent = _unpack(r.blob, np.uint8, np.uint8, np.uint64, np.uint8, np.uint8)
+_SAMPLED = "bucket int, blob binary, sends array<binary>, types double, customers double, parent_customers double, parent_tables double"
+
+
+def _sampled(state: pd.DataFrame, totals: pd.DataFrame, all_: dict[str, float], buckets: int) -> pd.DataFrame:
+    """The last sweeps of a bucket, from the totals of all: per token the parent's term and the training count, per
+    pair its term, and each context's averaged tables for the context's owner."""
+    r = state.iloc[0]
+    context = np.concatenate([_hashes(_unpack(b, np.uint8, np.float32)[0]) for b in r["sends"] if b is not None])
+    tables_of = np.concatenate([_unpack(b, np.float32)[0] for b in totals.sort_values("owner")["blob"]]).astype(float)
+    per_token, of, count, tables, parent = _unpack(r["blob"], np.uint8, np.uint8, np.uint64, np.uint8, np.uint8)
+    per_token = _joined(per_token)
     owner = np.repeat(np.arange(per_token.size), per_token)
-    s = Seating(owner, context, count, per_token.size, np.random.default_rng((r.bucket, 1)))
+    s = Seating(owner, _joined(of).astype(np.int64), count, per_token.size, np.random.default_rng((int(r["bucket"]), 1)))
     s.t, s.t1 = _joined(tables).astype(np.int64)[s.own], _joined(parent).astype(np.int64)
     s.c1 = np.bincount(s.w, weights=s.t, minlength=s.n).astype(np.int64)
+    total = Sums(all_["types"], np.zeros(1), tables_of, all_["parent_customers"], all_["parent_tables"])
     left, parent_left, mean = np.zeros(count.size), np.zeros(s.n), None
     for _ in range(SAMPLES):
         total = s.sweep(total)
@@ -413,35 +461,53 @@ def _answered(r, total: Sums) -> pd.DataFrame:
         now = [x / SAMPLES for x in s.sums()]
         mean = now if mean is None else [a + b for a, b in zip(mean, now)]
     seen = np.bincount(owner, weights=count, minlength=per_token.size).astype(np.uint64)
-    left, parent_left = left.astype(np.float32), parent_left.astype(np.float32)
+    mean = Sums(*mean)
+    row = (r["bucket"], _pack(parent_left.astype(np.float32), seen, left.astype(np.float32)), _sends(context, mean.tables, buckets), *_scalars(mean))
+    return pd.DataFrame([row], columns=["bucket", "blob", "sends", *_SUMS])
+
+
+_ANSWERS = "block long, bucket int, mark long, blob binary"
+STATE, SAMPLE, SENT = range(3)  # kinds of an owner's rows
+
+
+def _answered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """What each block needs of a bucket: per token the parent's term, the training count and the tables of its
+    context, per pair its term."""
+    state, sample, sent = (pdf[pdf["kind"] == k] for k in (STATE, SAMPLE, SENT))
+    r = state.iloc[0]
+    token = _hashes(_unpack(r["blob"], np.uint8)[0])
+    parent_left, seen, left = _unpack(sample["blob"].iloc[0], np.float32, np.uint64, np.float32)
+    tables = np.zeros(token.size, np.float32)
+    if len(sent):
+        hashes, values = _read_sends(sent.sort_values("bucket"))
+        tables = np.bincount(np.searchsorted(token, np.concatenate(hashes)), weights=np.concatenate(values), minlength=token.size).astype(np.float32)
     rows = []
-    for name, mark, place in zip(r.blocks, r.marks, r.places):
+    for name, mark, place in zip(r["blocks"], r["marks"], r["places"]):
         own, mine = (np.cumsum(_joined(x), dtype=np.int64) for x in _unpack(place, np.uint8, np.uint8))
-        rows.append((name, r.bucket, mark, _pack(parent_left[own], seen[own], left[mine]), None, None, None, None, None))
-    sums = [x.tolist() if isinstance(x, np.ndarray) else x for x in mean]
-    rows[0] = (*rows[0][:4], *sums)
-    return pd.DataFrame(rows, columns=["block", "bucket", "mark", "blob", *_SUMS])
+        rows.append((name, r["bucket"], mark, _pack(parent_left[own], seen[own], tables[own], left[mine])))
+    return pd.DataFrame(rows, columns=["block", "bucket", "mark", "blob"])
 
 
-def _scored(pdf: pd.DataFrame, t: Sums) -> pd.DataFrame:
+def _scored(pdf: pd.DataFrame, t: dict[str, float]) -> pd.DataFrame:
     """The scores of one block: its texts' row and its buckets' answers."""
     if pdf["mark"].nunique() != 1 or (pdf["bucket"] < 0).sum() != 1:
         raise RuntimeError("the two passes over the texts saw different rows: give a table whose rows stay in place")
     texts = pdf[pdf["bucket"] < 0]["blob"].iloc[0]
-    ids, null, train, size, per_token, context, pair, held = _unpack(texts, np.int64, bool, bool, np.int64, np.uint8, np.uint8, np.uint8, np.int64)
-    pair = _joined(pair)
-    answers = [_unpack(b, np.float32, np.uint64, np.float32) for b in pdf[pdf["bucket"] >= 0].sort_values("bucket")["blob"]]
-    parent_left, seen, left = (np.concatenate([a[k] for a in answers]).astype(float) for k in range(3))
-    own = np.repeat(np.arange(per_token.size), per_token)
-    spare = (STRENGTH + DISCOUNT * t.tables) / (STRENGTH + t.customers)
-    spare_1 = (STRENGTH_1 + DISCOUNT_1 * t.parent_tables) / (STRENGTH_1 + t.parent_customers)
-    p1 = parent_left / (STRENGTH_1 + t.parent_customers) + spare_1 / (t.types + 1)
-    p = left / (STRENGTH + t.customers)[context] + spare[context] * p1[own]
+    ids, null, train, size, end, inverse, held = _unpack(texts, np.int64, bool, bool, np.int64, np.int64, np.uint8, np.int64)
+    inverse = _joined(inverse).astype(np.int64)
+    answers = [_unpack(b, np.float32, np.uint64, np.float32, np.float32) for b in pdf[pdf["bucket"] >= 0].sort_values("bucket")["blob"]]
+    parent_left, seen, tables, left = (np.concatenate([a[k] for a in answers]).astype(float) for k in range(4))
+    context = before(inverse, size, int(end[0]))
+    _, pair = np.unique(inverse * seen.size + context, return_inverse=True)
+    spare = (STRENGTH + DISCOUNT * tables) / (STRENGTH + seen)
+    spare_1 = (STRENGTH_1 + DISCOUNT_1 * t["parent_tables"]) / (STRENGTH_1 + t["parent_customers"])
+    p1 = parent_left / (STRENGTH_1 + t["parent_customers"]) + spare_1 / (t["types"] + 1)
+    p = left[pair] / (STRENGTH + seen[context]) + spare[context] * p1[inverse]
     first = np.cumsum(size) - size
-    tokens_, types = round(float(t.customers.sum())), round(t.types)
+    tokens_, types = round(t["customers"]), round(t["types"])
     base = np.log10(seen + 1) - np.log10(tokens_ + types + 1)
     add = lambda x: np.add.reduceat(x, first)
-    out = pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "held_out": ~train, "n_tokens": size, "n_known": add((seen > 0)[own][pair].astype(np.int64)), "train_tokens": tokens_, "base_score": add(base[own][pair]), "score": add(np.log10(p)[pair])})
+    out = pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "held_out": ~train, "n_tokens": size, "n_known": add((seen > 0)[inverse].astype(np.int64)), "train_tokens": tokens_, "base_score": add(base[inverse]), "score": add(np.log10(p))})
     out.loc[null, "doc_id"] = pd.NA
     return out
 
@@ -455,15 +521,16 @@ def scores(df: DataFrame, buckets: int | None = None, block_bytes: int = BLOCK,
     rows = id_text(df, id_col, text_col)
     buckets = buckets or max(16, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET))
     common = frequent(rows, block_bytes)
-    state = cut(parts(rows, common, buckets, False, block_bytes).groupBy("bucket").applyInPandas(lambda pdf: _gathered(pdf, buckets), _STATE))
+    state = cut(parts(rows, common, buckets, False, block_bytes).groupBy("bucket").applyInPandas(lambda pdf: _gathered(pdf, buckets, common), _STATE))
     start = _total(state)
-
-    def answers(batches):
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                yield _answered(r, start)
-
-    got = cut(state.mapInPandas(answers, _ANSWERS))
-    final = _total(got)
-    both = parts(rows, common, buckets, True, block_bytes).unionByName(got.select("block", "bucket", "mark", "blob"))
+    sent = lambda x: x.select("bucket", F.posexplode("sends").alias("owner", "blob")).filter("blob is not null")
+    totals = sent(state).groupBy("owner").applyInPandas(_added, "bucket int, owner int, blob binary").groupBy("bucket")
+    seated = state.select("bucket", "blob", "sends").groupBy("bucket").cogroup(totals)
+    sampled = cut(seated.applyInPandas(lambda a, b: _sampled(a, b, start, buckets), _SAMPLED))
+    final = _total(sampled)
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("blocks", "array<long>"), ("marks", "array<long>"), ("places", "array<binary>"))]
+    own = state.select("bucket", F.lit(STATE).alias("kind"), F.col("bucket").alias("owner"), F.col("tokens").alias("blob"), "blocks", "marks", "places")
+    own = own.unionByName(sampled.select("bucket", F.lit(SAMPLE).alias("kind"), F.col("bucket").alias("owner"), "blob", *none))
+    own = own.unionByName(sent(sampled).select("bucket", F.lit(SENT).alias("kind"), "owner", "blob", *none))
+    both = parts(rows, common, buckets, True, block_bytes).unionByName(own.groupBy("owner").applyInPandas(_answered, _ANSWERS))
     return both.groupBy("block").applyInPandas(lambda pdf: _scored(pdf, final), _SCORES)

@@ -624,6 +624,23 @@ def test_pitman_yor_scores_do_not_depend_on_the_layout(spark):
     assert rows(df.repartition(7, "doc_id"), block_bytes=9000) == pytest.approx(one, rel=1e-6)
 
 
+def test_pitman_yor_rare_tokens_are_contexts_of_their_own(spark):
+    """Each of 1,500 rare words has its own follower: a context that rare words share would give it about 1 in 23."""
+    rng = np.random.default_rng(31)
+    texts = [" ".join(f"a{k} b{k}" for k in rng.integers(0, 1500, 150)) for _ in range(200)]
+    rows = pitman_yor.scores(frame(spark, texts), block_bytes=100_000).filter("held_out").collect()
+    own = sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows)
+    assert len(rows) > 10 and -(math.log10(1500) + 0.3) / 2 < own < -math.log10(1500) / 2
+
+
+def test_pitman_yor_sums_over_buckets(spark):
+    """Contexts' tables lie in all buckets: with their sums, many buckets score as one does."""
+    rng = np.random.default_rng(32)
+    df = frame(spark, [prose(rng, int(rng.integers(50, 300)), 300) for _ in range(150)])
+    one, many = ({r["doc_id"]: r["score"] / r["n_tokens"] for r in pitman_yor.scores(df, k, 20_000).collect()} for k in (1, 40))
+    assert len(one) == 150 and many == pytest.approx(one, abs=0.02)
+
+
 def test_pitman_yor_probabilities_add_up():
     rng = np.random.default_rng(2)
     code, size = pitman_yor.tokens([prose(rng, 300, 200) for _ in range(20)])
