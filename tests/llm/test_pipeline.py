@@ -71,3 +71,23 @@ def test_run_matches_plain_stages(spark, tmp_path):
         assert {(s, zlib.crc32(ids[i][s : s + k].tobytes())) for s, k in zip(pieces["start"], pieces["length"])} == set(zip(pieces["start"], pieces["ids_crc32"]))
     for _, s in rows.sort_values("offset").groupby("sequence_id"):
         assert s["offset"].tolist() == [0, *s["length"].cumsum().tolist()[:-1]] and s["length"].sum() <= packing.LENGTH
+
+
+def test_run_tells_all_characters_apart(spark, tmp_path):
+    """Words of characters beyond the 59 commonest are judged too: a text with their characters mixed up goes."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(17)
+    usual = ["".join(rng.choice([chr(c) for c in (*range(97, 123), *range(0x430, 0x450))], 4)) for _ in range(150)]
+    stems = [[chr(0x4E00 + 4 * k + j) for j in range(3)] for k in range(100)]
+
+    def text(mixed):
+        own = [[stems[k][j] for j, k in enumerate(rng.integers(0, 100, 3) if mixed else [int(rng.integers(100))] * 3)] for _ in range(40)]
+        both = [*map("".join, own), *rng.choice(usual, 60)]
+        return " ".join(both[k] for k in rng.permutation(100))
+
+    texts = [text(i == 90) for i in range(120)]
+    docs = [(i, t, "zz", "s", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+    assert 90 not in kept and len(kept) >= 117
