@@ -19,8 +19,9 @@ met at a leader are verified exactly against each other, leader first, skipping
 connected or that the triangle inequality of the Jaccard distance rules out. Meetings of many members or of
 long ones are split in blocks, so that a task's memory does not grow with either, and only members that the
 leader's component lacks are compared across blocks. No pair is dropped or capped. A set that fills fewer segments
-than it must index would break the argument; n shingles in m segments do so with a chance of at most
-C(m, n // 4) (n // 4 / m)^n, which ``segments`` keeps below 1e-17 a set in every band (``thin`` computes it).
+than it must index is thin: it indexes all it has, so the argument holds for it and any set that is not, and the thin
+sets of a band share one more entry, by which they are verified against each other. By chance n shingles in m
+segments are thin with at most C(m, n // 4) (n // 4 / m)^n (``thin``), so that few meet unless texts are made to.
 Shingles have 64 bits in the index and 56 in the verification: two sets of 20,000 shingles hold a pair that falls
 together by chance once in 2e8 pairs of sets.
 
@@ -51,6 +52,7 @@ BLOCK = 2000  # members of a meeting that one task verifies
 SHINGLES = 4 << 20  # that a block's members hold, about
 SMALL = 3  # the last band with one-deletion neighbourhoods
 BITS = 1 << 24  # of the bitmap of classes that met another
+THIN = np.uint64(0x27D4EB2F165667C5)  # makes a band's entry of its own
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -117,6 +119,8 @@ def entries(s: np.ndarray, common: np.ndarray) -> np.ndarray:
         head = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
         sums = np.add.reduceat(value, head)[: n // 4 + 1]
         out.append(mix(sums + salt + seg[head[: n // 4 + 1]] * _C))
+        if head.size <= n // 4:
+            out.append(mix(salt[None] ^ THIN))  # where the band's thin sets meet
     return np.unique(np.concatenate(out))
 
 

@@ -7,7 +7,7 @@ families of inflected or invented words count as well as single ones; copies and
 enters the dictionary; windows that it leaves without a distance are appended as they are. What ordinary training
 words share with that dictionary by chance is added to the ordinary one, ROUNDS times. Every word of a text
 is compressed after the same lead, before the same tail, with the ordinary dictionary and with the ordinary and the
-toxic one; the difference of the lengths is the window's distance. The largest distance, the number of windows beyond
+toxic one, each searched whole whatever its size; the difference of the lengths is the window's distance. The largest distance, the number of windows beyond
 a threshold, their sum and their share go through a logistic calibration fitted on labelled rows that trained no
 dictionary, shifted so that 0.5 is the threshold that separates those rows best at a bounded rate of false alarms.
 
@@ -40,6 +40,7 @@ MOST_BYTES = 32768
 FAR = 3  # bytes of distance that count
 ORDINARY_BYTES = 32000
 LEAD, TAIL = 48, 24  # bytes about a window
+ROOM = 1 << 14  # bytes that a compressor's window has beside its dictionary
 SHORTEST = 4  # letters of a word's beginning that are tested
 LEAST_Z = 5.0
 FALSE_ALARMS = 0.01
@@ -64,9 +65,11 @@ class Model(NamedTuple):
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
-    """Searches for the longest match, of six bytes at least."""
+    """Searches for the longest match, of six bytes at least, in all of the content: the window and the tables of
+    positions grow with it, as a dictionary that does not fit is left unread."""
     bare = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
-    how = zstandard.ZstdCompressionParameters(window_log=17, chain_log=17, hash_log=17, search_log=6, min_match=6, target_length=1, strategy=zstandard.STRATEGY_GREEDY, **bare)
+    log = max(17, (len(content) + ROOM).bit_length())
+    how = zstandard.ZstdCompressionParameters(window_log=log, chain_log=min(log, zstandard.CHAINLOG_MAX), hash_log=min(log, zstandard.HASHLOG_MAX), search_log=6, min_match=6, target_length=1, strategy=zstandard.STRATEGY_GREEDY, **bare)
     data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     data.precompute_compress(compression_params=how)
     return zstandard.ZstdCompressor(dict_data=data, compression_params=how)
@@ -101,19 +104,17 @@ def _beginnings(words: set[bytes]) -> set[bytes]:
 
 def distinct(texts: list[list[bytes]]) -> list[list[bytes]]:
     """The texts (as words) without copies and near copies of earlier ones, so that their words count once: copies
-    agree in half of SKETCH minima over hashed runs of five words."""
-    seen: list[dict[int, int]] = [{} for _ in range(SKETCH)]
+    agree in half of SKETCH minima over hashed runs of five words with one that counts."""
+    kept = np.empty((len(texts), SKETCH), np.uint64)  # the minima of those that count
     factors = np.random.default_rng(0).integers(1, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
     out = []
     for words in texts:
         runs = {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
         code = np.array([zlib.crc32(r) | zlib.crc32(r, 1) << 32 for r in runs], np.uint64)
-        least = [int(mix(code * f).min()) for f in factors]
-        agree = Counter(seen[k][x] for k, x in enumerate(least) if x in seen[k])
-        if agree and max(agree.values()) >= SKETCH // 2:
+        least = np.array([mix(code * f).min() for f in factors])
+        if ((kept[: len(out)] == least).sum(1) >= SKETCH // 2).any():
             continue
-        for k, x in enumerate(least):
-            seen[k].setdefault(x, len(out))
+        kept[len(out)] = least
         out.append(words)
     return out
 

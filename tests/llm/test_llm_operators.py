@@ -386,6 +386,37 @@ def test_toxicity_counts_copies_once():
     assert toxicity.distinct(texts + near + texts) == texts and toxicity.distinct([[b"a"], [b"b"], [b"a"]]) == [[b"a"], [b"b"]]
 
 
+def test_toxicity_copies_match_all_pairs():
+    """A text is held against every earlier one that counts, not only the first with each minimum."""
+    rng = np.random.default_rng(4)
+    factors = np.random.default_rng(0).integers(1, 1 << 63, toxicity.SKETCH, dtype=np.uint64) | np.uint64(1)
+    base = toxicity.tokens(lettered(rng, 60))
+    texts = []
+    for _ in range(40):
+        texts.append(list(base))
+        for at in rng.integers(0, 50, int(rng.integers(1, 5))):
+            texts[-1][at : at + 6] = toxicity.tokens(lettered(rng, 6))
+    want, own = [], []
+    for t in texts:
+        code = [zlib.crc32(r) | zlib.crc32(r, 1) << 32 for r in (b" ".join(t[k : k + 5]) for k in range(len(t) - 4))]
+        least = [min(int(toxicity.mix(np.array([c], np.uint64) * f)[0]) for c in code) for f in factors]
+        if all(sum(a == b for a, b in zip(least, x)) < toxicity.SKETCH // 2 for x in own):
+            own.append(least)
+            want.append(t)
+    assert toxicity.distinct(texts) == want and 1 < len(want) < 40
+
+
+@pytest.mark.parametrize("size", [50_000, 131_072, 262_144, 1_000_000])
+def test_toxicity_reads_the_whole_dictionary(size):
+    rng = np.random.default_rng(6)
+    w = [bytes(x) for x in rng.integers(97, 123, (size // 11, 9), dtype=np.uint8)]
+    some, many = (b"".join(b" " + x + b" " for x in ws) for ws in (w[:2000], w[2000:]))
+    of = toxicity.distance(some, many)
+    assert all(of(x) >= toxicity.FAR for x in w[2000 :: size // 2000]) and not any(of(x) >= toxicity.FAR for x in w[:2000:20])
+    of = toxicity.distance(many, some)
+    assert all(of(x) >= toxicity.FAR for x in w[:2000:20]) and not any(of(x) >= toxicity.FAR for x in w[2000 :: size // 2000])
+
+
 def test_toxicity_marks_match_counts():
     toxic = [{b"loser", b"the"}] * 12 + [{b"losing", b"a"}] * 12
     ordinary = [{b"the", b"a", b"plain"}] * 40 + [{b"lost", b"the"}]

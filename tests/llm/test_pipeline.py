@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from test_llm_operators import brute, lettered, plain_pii, plain_terms
 
-from tallywell.llm import packing, pii, quality, toxicity
+from tallywell.llm import packing, pii, quality, set_join, toxicity
 
 BAD = ["dreadfulfoe", "vilescum", "rottenfool", "nastyworm"]
 
@@ -91,3 +91,39 @@ def test_run_tells_all_characters_apart(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     kept = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
     assert 90 not in kept and len(kept) >= 117
+
+
+def test_toxic_stage_with_many_terms(spark, tmp_path):
+    """More toxic words than 128 KiB hold: what was learned is looked for whole, so texts full of them go."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(23)
+    usual = ["".join(x) for x in rng.choice(list("abcdefghijklmnop"), (3000, 6))]
+    bad = ["".join(x) for x in rng.choice(list("ghijklmnopqrstuvwxyz"), (20_000, 9))]
+    n = [0 if i % 3 else 1 if i % 2 else 3000 for i in range(1500)]
+    rows = [(i, " ".join([*rng.choice(usual, 40), *rng.choice(bad, k)]), int(k > 0)) for i, k in enumerate(n)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    left = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, str(tmp_path)).select("doc_id").collect()}
+    assert not any(k > 1 for i, k in enumerate(n) if i in left) and left.issuperset(i for i, k in enumerate(n) if not k)
+
+
+def test_near_copies_whose_shingles_fill_few_segments(spark):
+    """Texts made so that their shingles fall into 3 of 128 segments, all of which three more words change."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    salt = np.uint64(5 * int(set_join._B) & (1 << 64) - 1)
+
+    def text(segments, tag):
+        w = [f"{tag}{k}" for k in range(4)]
+        for n, own in enumerate([segments] * 16 + [[x] for x in segments]):
+            tried = [f"{tag}x{n}x{k}" for k in range(3000)]
+            code = np.concatenate(set_join.sets([" ".join([*w[-4:], x]) for x in tried]))
+            w.append(tried[int(np.flatnonzero(np.isin((set_join.mix(code ^ salt) >> np.uint64(11)) % np.uint64(128), own))[0])])
+        return " ".join(w)
+
+    long = [text(own, tag) for own, tag in (([3, 50, 99], "a"), ([7, 8, 120], "b"), ([3, 50, 99], "c"))]
+    texts = [*(" ".join(t.split()[:20]) for t in long), *long, *(lettered(np.random.default_rng(k), 30) for k in range(20))]
+    groups, _ = brute(texts)
+    assert groups[:6] == [0, 1, 2, 0, 1, 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    left = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, "").select("doc_id").collect()}
+    assert left == {i for i, g in enumerate(groups) if i == g}
